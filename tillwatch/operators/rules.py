@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.timegrid import at_micros, epoch_micros, micros, slot, window_grid
 
-HOT_USER_ROWS = 1_000_000
+HOT_USER_ROWS = 500_000
 
 # Rule thresholds.
 VELOCITY_WARNING = 5
@@ -53,15 +53,20 @@ def hot_users(df: DataFrame, hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
 
 def _by_user_size(df: DataFrame, small: RowRule, hot: RowRule, hot_user_rows: int) -> DataFrame:
     listed = F.broadcast(hot_users(df, hot_user_rows))
-    usual = df.join(listed, "user_id", "left_anti")
+    usual = df.join(listed, "user_id", "left_anti").withColumn(
+        "_alone", F.when(F.col("user_id").isNull(), F.col("tx_id"))
+    )
     heavy = df.join(listed, "user_id", "left_semi")
-    return small(usual).unionByName(hot(heavy))
+    return small(usual).drop("_alone").unionByName(hot(heavy))
+
+
+# One user's rows; rows without a user each stand alone.  Every window of the small path partitions
+# by these same two columns, so one exchange serves them all.
+USER_GROUP = ["user_id", "_alone"]
 
 
 def _per_user(*order: Column) -> WindowSpec:
-    """Window over one user's rows; rows without a user each stand alone."""
-    alone = F.when(F.col("user_id").isNull(), F.col("tx_id"))
-    return Window.partitionBy("user_id", alone).orderBy(*order)
+    return Window.partitionBy(*USER_GROUP).orderBy(*order)
 
 
 # ---------------------------------------------------------------- window relations
@@ -139,7 +144,8 @@ def _velocity_hot(df: DataFrame, window: str, slide: str) -> DataFrame:
     return df.join(slots, ["user_id", "_slot_v"], "left").drop("_slot_v")
 
 
-def _velocity_score(df: DataFrame) -> DataFrame:
+def velocity_points(df: DataFrame) -> DataFrame:
+    """``velocity_score`` from ``tx_count_60s``."""
     n = F.col("tx_count_60s")
     return df.withColumn(
         "velocity_score",
@@ -151,7 +157,7 @@ def velocity_score(df: DataFrame, window: str = "60 seconds", slide: str = "10 s
                    hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
     """Add ``tx_count_60s`` (highest count among the windows holding the row) and
     ``velocity_score``: over 10 -> 2, over 5 -> 1, else 0."""
-    return _velocity_score(_by_user_size(
+    return velocity_points(_by_user_size(
         df,
         lambda d: _velocity_small(d, window, slide),
         lambda d: _velocity_hot(d, window, slide),
@@ -260,12 +266,9 @@ def _next_elsewhere(df: DataFrame, country: str, keys: list, carry: list[str]) -
 def _geo_small(df: DataFrame, within: str) -> DataFrame:
     span = micros(within)
     country = F.col("country_code")
-    alone = F.when(F.col("user_id").isNull(), F.col("tx_id"))
-    df = df.withColumn("_us", epoch_micros(F.col("tx_at"))).withColumn("_alone", alone)
-    df = _next_elsewhere(df, "country_code", ["user_id", "_alone"], [])
-    same_time = Window.partitionBy("user_id", "_alone").orderBy(F.desc("_us")).rangeBetween(
-        Window.currentRow, Window.currentRow
-    )
+    df = df.withColumn("_us", epoch_micros(F.col("tx_at")))
+    df = _next_elsewhere(df, "country_code", USER_GROUP, [])
+    same_time = _per_user(F.desc("_us")).rangeBetween(Window.currentRow, Window.currentRow)
     clash = F.min("country_code").over(same_time) != F.max("country_code").over(same_time)
     soon = F.coalesce(F.col("_next._us") <= F.col("_us") + span, F.lit(False))
     return (
@@ -274,7 +277,7 @@ def _geo_small(df: DataFrame, within: str) -> DataFrame:
             "geo_anomaly_flag",
             country.isNotNull() & (soon | F.coalesce("_clash", F.lit(False))),
         )
-        .drop("_us", "_alone", "_next", "_clash")
+        .drop("_us", "_next", "_clash")
     )
 
 
@@ -388,7 +391,7 @@ def score_transactions(df: DataFrame, velocity_window: str = "60 seconds",
         return _geo_hot(d, geo_within)
 
     ruled = _by_user_size(df, small, hot, hot_user_rows)
-    return combine_scores(_spike(_velocity_score(ruled), round_before_compare))
+    return combine_scores(_spike(velocity_points(ruled), round_before_compare))
 
 
 def flagged_transactions(scored: DataFrame) -> DataFrame:

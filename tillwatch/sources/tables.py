@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -44,3 +46,14 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All micro-batches below ``path``; ``batch_id`` comes from the folder names."""
     declared = StructType.fromDDL(schema)
     return spark.read.schema(declared).parquet(path).select(*declared.names)
+
+
+def read_batch(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame | None:
+    """One micro-batch below ``path`` without listing the others; None if it is not there."""
+    declared = StructType.fromDDL(schema)
+    inside = StructType([f for f in declared if f.name != "batch_id"])
+    try:
+        rows = spark.read.schema(inside).parquet(f"{path}/batch_id={batch_id}")
+    except AnalysisException:
+        return None
+    return rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*declared.names)
