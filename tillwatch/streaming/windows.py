@@ -37,7 +37,8 @@ def _with_window_value(stream: DataFrame, window: str, slide: str, value: Column
         stream.groupBy("user_id", spans.alias("w")).agg(value.alias(name))
         .withColumnRenamed("user_id", "_user")
     )
-    rows = stream.withColumn("rw", spans)
+    # the window is the row's event time from here on; tx_at stays as plain data
+    rows = stream.withColumn("rw", spans).withColumn("tx_at", F.col("tx_at").alias("tx_at", metadata={}))
     return rows.join(values, (rows["user_id"] == values["_user"]) & (rows["rw"] == values["w"])) \
         .withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}) \
         .drop("_user", "rw", "w")
