@@ -13,6 +13,7 @@ from tillwatch.functions.exact import count_where
 from tillwatch.functions.fixed import DAY_NAMES
 from tillwatch.functions.timegrid import floor_hour
 from tillwatch.schemas import ALERT_FIELDS
+from tillwatch.sources.messages import json_columns
 
 ALERT_COLUMNS = [field.split()[0] for field in ALERT_FIELDS.split(", ")]
 
@@ -49,9 +50,8 @@ def alert_payload(alerts: DataFrame) -> DataFrame:
 
 def read_alert_payload(messages: DataFrame) -> DataFrame:
     """Alert columns of stored JSON; records that are not alerts are skipped."""
-    alert = F.from_json(F.col("value").cast("string"), ALERT_FIELDS).alias("a")
     return (
-        messages.select(alert).select("a.*")
+        json_columns(messages, ALERT_FIELDS)
         .filter(F.col("tx_id").isNotNull() & F.col("user_id").isNotNull())
         .fillna({"fraud_score": 0, "velocity_score": 0,
                  "amount_spike": False, "geo_anomaly": False})
@@ -198,5 +198,8 @@ def alert_stats(alerts: DataFrame, breaker_log: DataFrame, now: Column, top: int
         F.sort_array(F.collect_list(F.struct("total_score", "user_id")), asc=False)
         .alias("top_flagged_users")
     )
-    one_row_each = alert_totals(alerts).crossJoin(breaker_active(breaker_log, now))
-    return one_row_each.crossJoin(best)
+    return alert_totals(alerts).select(
+        "total_fraud_alerts",
+        breaker_active(breaker_log, now).scalar().alias("circuit_breaker_active"),
+        best.scalar().alias("top_flagged_users"),
+    )

@@ -38,12 +38,8 @@ def above_mark(incoming: DataFrame, table: DataFrame) -> DataFrame:
     Optional: late rows at or before the mark are lost even if they were never stored, while
     :func:`insert_if_absent` alone is already idempotent.
     """
-    mark = F.broadcast(high_water_mark(table))  # one row
-    return (
-        incoming.crossJoin(mark)
-        .filter(F.col("mark").isNull() | (F.col("tx_at") > F.col("mark")))
-        .drop("mark")
-    )
+    mark = high_water_mark(table).scalar()
+    return incoming.filter(mark.isNull() | (F.col("tx_at") > mark))
 
 
 def first_per_key(incoming: DataFrame, key: str = "tx_id", arrival: str = "tx_at") -> DataFrame:

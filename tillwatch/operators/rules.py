@@ -71,39 +71,64 @@ def _per_user(*order: Column) -> WindowSpec:
 
 # ---------------------------------------------------------------- window relations
 
+def _spread(start: Column, length: int, step: int) -> Column:
+    """Starts of all windows that hold the slot beginning at ``start``."""
+    return F.explode(F.sequence(start - (length - step), start, F.lit(step)))
+
+
+def _window_bounds(length: int) -> list[Column]:
+    return [at_micros(F.col("_start")).alias("window_start"),
+            at_micros(F.col("_start") + length).alias("window_end")]
+
+
 def velocity_windows(df: DataFrame, window: str = "60 seconds", slide: str = "10 seconds"
                      ) -> DataFrame:
-    """Transactions per (user, sliding window).  Batch or stream."""
+    """Transactions per (user, sliding window).
+
+    Rows become slot counts before anything is multiplied by the number of windows; the windows of a
+    user are then summed where the user's slots are, without a further exchange.
+    """
+    length, step = window_grid(window, slide)
+    slots = df.groupBy("user_id", slot(F.col("tx_at"), step).alias("_slot")).agg(
+        F.count(F.lit(1)).alias("_n"))
     return (
-        df.groupBy("user_id", F.window("tx_at", window, slide).alias("_w"))
-        .agg(F.count(F.lit(1)).alias("tx_count_60s"))
-        .select(
-            "user_id",
-            F.col("_w.start").alias("window_start"),
-            F.col("_w.end").alias("window_end"),
-            "tx_count_60s",
-        )
+        slots.repartition("user_id")
+        .select("user_id", "_n", _spread(F.col("_slot"), length, step).alias("_start"))
+        .groupBy("user_id", "_start")
+        .agg(F.sum("_n").alias("tx_count_60s"))
+        .select("user_id", *_window_bounds(length), "tx_count_60s")
     )
 
 
 def amount_windows(df: DataFrame, window: str = "24 hours", slide: str = "1 hour",
-                   accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """Median amount per (user, sliding window); exact for windows of fewer than about
-    ``accuracy`` rows.  Batch or stream.
+                   hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
+    """Median amount per (user, sliding window); exact for windows of up to several thousand rows.
 
-    ``percentile_approx`` aggregates partially, so a window that holds very many rows travels as
-    one bounded summary per task.
+    Usual users: rows move once to their user's partition and are repeated per window only there.
+    Hot users (and rows without a user, which share a group here): ``percentile_approx`` aggregates
+    before the exchange, so however many rows a window holds, each task sends one bounded summary.
     """
-    return (
-        df.groupBy("user_id", F.window("tx_at", window, slide).alias("_w"))
-        .agg(F.percentile_approx("amount", 0.5, accuracy).alias("user_median_amount"))
-        .select(
-            "user_id",
-            F.col("_w.start").alias("window_start"),
-            F.col("_w.end").alias("window_end"),
-            "user_median_amount",
-        )
+    length, step = window_grid(window, slide)
+    amounts = df.select("user_id", F.col("amount").cast("double").alias("amount"),
+                        slot(F.col("tx_at"), step).alias("_slot"))
+    listed = F.broadcast(
+        amounts.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+        .filter((F.col("_n") > hot_user_rows) | F.col("user_id").isNull())
+        .select(F.col("user_id").alias("_hot"))
     )
+    is_listed = F.col("user_id").eqNullSafe(F.col("_hot"))
+    usual = amounts.join(listed, is_listed, "left_anti")
+    heavy = amounts.join(listed, is_listed, "left_semi")
+
+    def medians(rows: DataFrame) -> DataFrame:
+        return (
+            rows.select("user_id", "amount", _spread(F.col("_slot"), length, step).alias("_start"))
+            .groupBy("user_id", "_start")
+            .agg(F.percentile_approx("amount", 0.5, MEDIAN_ACCURACY).alias("user_median_amount"))
+        )
+
+    return medians(usual.repartition("user_id")).unionByName(medians(heavy)).select(
+        "user_id", *_window_bounds(length), "user_median_amount")
 
 
 # ---------------------------------------------------------------- velocity
@@ -167,12 +192,10 @@ def velocity_score(df: DataFrame, window: str = "60 seconds", slide: str = "10 s
 
 # ---------------------------------------------------------------- amount against median
 
-def _lowest(median: Column) -> Column:
-    """Sort key whose minimum is the smallest positive median, else the smallest median.
-
-    A zero median gives no ratio, so it must not hide a positive one.
-    """
-    return F.when(median.isNotNull(), F.struct((median <= 0).alias("unusable"), median.alias("m")))
+def _usable(median: Column) -> Column:
+    """The median, or infinity where it gives no ratio: a zero median must not hide a positive one
+    when the lowest is taken."""
+    return F.when(median > 0, median).when(median.isNotNull(), F.lit(float("inf")))
 
 
 def _median_small(df: DataFrame, window: str, slide: str) -> DataFrame:
@@ -184,36 +207,40 @@ def _median_small(df: DataFrame, window: str, slide: str) -> DataFrame:
     """
     length, step = window_grid(window, slide)
     spec = _per_user(F.col("_slot_m"))
-    median = F.percentile_approx("amount", 0.5, MEDIAN_ACCURACY)
+    median = F.percentile_approx(F.col("amount").cast("double"), 0.5, MEDIAN_ACCURACY)
+    lowest_ending = F.min(_usable(F.col("_ending"))).over(spec.rangeBetween(0, length - step))
+    lowest_after = F.min(_usable(F.col("_after"))).over(spec.rangeBetween(-length, -step))
     return (
         df.withColumn("_slot_m", slot(F.col("tx_at"), step))
         .withColumn("_ending", median.over(spec.rangeBetween(step - length, 0)))
         .withColumn("_after", median.over(spec.rangeBetween(step, length)))
-        .withColumn("_e", F.min(_lowest(F.col("_ending"))).over(spec.rangeBetween(0, length - step)))
-        .withColumn("_a", F.min(_lowest(F.col("_after"))).over(spec.rangeBetween(-length, -step)))
-        .withColumn("_median", F.least("_e", "_a")["m"])
-        .drop("_slot_m", "_ending", "_after", "_e", "_a")
+        .withColumn("_median", F.least(lowest_ending, lowest_after))
+        .drop("_slot_m", "_ending", "_after")
     )
 
 
 def _median_hot(df: DataFrame, window: str, slide: str) -> DataFrame:
     length, step = window_grid(window, slide)
     df = df.withColumn("_slot_m", slot(F.col("tx_at"), step))
-    start = epoch_micros(F.col("window_start"))
+    per_window = df.select(
+        "user_id", F.col("amount").cast("double").alias("amount"),
+        _spread(F.col("_slot_m"), length, step).alias("_start"),
+    ).groupBy("user_id", "_start").agg(
+        F.percentile_approx("amount", 0.5, MEDIAN_ACCURACY).alias("_m"))
     per_slot = (
-        amount_windows(df, window, slide)
-        .withColumn("_slot_m", F.explode(F.sequence(start, start + (length - step), F.lit(step))))
+        per_window.select("user_id", "_m", F.explode(F.sequence(
+            F.col("_start"), F.col("_start") + (length - step), F.lit(step))).alias("_slot_m"))
         .groupBy("user_id", "_slot_m")
-        .agg(F.min(_lowest(F.col("user_median_amount"))).alias("_low"))
-        .select("user_id", "_slot_m", F.col("_low.m").alias("_median"))
+        .agg(F.min(_usable(F.col("_m"))).alias("_median"))
     )
     return df.join(per_slot, ["user_id", "_slot_m"], "left").drop("_slot_m")
 
 
 def _spike(df: DataFrame, round_before_compare: bool) -> DataFrame:
     amount = F.col("amount").cast("double")
+    no_ratio = F.col("_median") == float("inf")
     df = df.withColumn(
-        "user_median_amount", F.coalesce("_median", "amount").cast("double")
+        "user_median_amount", F.when(no_ratio, 0.0).otherwise(F.coalesce("_median", amount))
     ).drop("_median")
     ratio = amount / F.nullif(F.col("user_median_amount"), F.lit(0.0))
     shown = F.round(ratio, 4)
@@ -225,8 +252,8 @@ def _spike(df: DataFrame, round_before_compare: bool) -> DataFrame:
 def amount_spike(df: DataFrame, window: str = "24 hours", slide: str = "1 hour",
                  round_before_compare: bool = False, hot_user_rows: int = HOT_USER_ROWS
                  ) -> DataFrame:
-    """Add ``user_median_amount`` (lowest window median), ``amount_ratio`` (4 places) and
-    ``amount_spike_flag`` (ratio over 3; null where the median is 0).
+    """Add ``user_median_amount`` (lowest positive window median, 0 if there is none),
+    ``amount_ratio`` (4 places) and ``amount_spike_flag`` (ratio over 3; null where the median is 0).
 
     The unrounded ratio is compared unless ``round_before_compare``.
     """

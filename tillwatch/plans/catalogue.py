@@ -235,8 +235,8 @@ def queries() -> dict[str, Query]:
         # alerts
         "alerts": alerts,
         "alert_payload_json": lambda s, sf: al.alert_payload(alerts(s, sf)),
-        "alert_state_totals": lambda s, sf: al.alert_totals(alerts(s, sf)).crossJoin(
-            raw(s, sf).agg(F.count(F.lit(1)).alias("raw_transactions"))),
+        "alert_state_totals": lambda s, sf: al.alert_totals(alerts(s, sf)).withColumn(
+            "raw_transactions", raw(s, sf).agg(F.count(F.lit(1))).scalar()),
         "alert_state_by_user": lambda s, sf: al.alerts_by_user(alerts(s, sf)),
         "top_flagged_users": lambda s, sf: al.top_flagged_users(alerts(s, sf)),
         "recent_alerts": lambda s, sf: al.recent_alerts(alerts(s, sf)),

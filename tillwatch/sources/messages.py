@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tillwatch.schemas import TX_PAYLOAD
 
@@ -51,6 +50,17 @@ def file_replay(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def json_columns(messages: DataFrame, schema: str, options: dict | None = None, *keep: Column
+                 ) -> DataFrame:
+    """``value`` decoded into the columns of ``schema`` (nulls where it is not such JSON).
+
+    Unpacked by a generator, below which no filter is moved: each message is parsed once, whatever
+    is later asked of its fields.
+    """
+    record = F.from_json(F.col("value").cast("string"), schema, options or {})
+    return messages.select(*keep, F.inline(F.array(record)))
+
+
 def _iso_time(text: Column) -> Column:
     """ISO-8601 with or without a zone; a zone-less time is UTC; anything else is null."""
     return F.try_to_timestamp(text)
@@ -62,26 +72,19 @@ def decode(messages: DataFrame) -> DataFrame:
     ``reject_reason`` is null for a usable message.  A field of the wrong type only nulls that
     field; a value that is not a JSON object is ``bad_json``.
     """
-    text = F.col("value").cast("string")
-    schema = StructType.fromDDL(TX_PAYLOAD + ", _corrupt string")
-    parsed = messages.withColumn(
-        "_tx",
-        F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
-    )
-    fields = [f.name for f in StructType.fromDDL(TX_PAYLOAD)]
-    tx = F.col("_tx")
+    decoded = json_columns(
+        messages, TX_PAYLOAD + ", _corrupt string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
+        F.col("value").cast("string").alias("value"),
+    ).withColumn("tx_time", _iso_time(F.col("tx_at")))
+    no_key = [F.col(c).isNull() for c in ("tx_id", "user_id", "tx_at")]
     reason = (
-        F.when(tx.isNull() | (tx["_corrupt"].isNotNull() & tx["tx_id"].isNull()
-                              & tx["user_id"].isNull() & tx["tx_at"].isNull()), BAD_JSON)
-        .when(tx["tx_id"].isNull() | tx["user_id"].isNull() | tx["tx_at"].isNull(), MISSING_KEY)
-        .when(_iso_time(tx["tx_at"]).isNull(), BAD_TIME)
-    )
-    return parsed.select(
-        text.alias("value"),
-        *[tx[name].alias(name) for name in fields],
-        _iso_time(tx["tx_at"]).alias("tx_time"),
-        reason.alias("reject_reason"),
+        F.when(F.col("value").isNull()
+               | (F.col("_corrupt").isNotNull() & no_key[0] & no_key[1] & no_key[2]), BAD_JSON)
+        .when(no_key[0] | no_key[1] | no_key[2], MISSING_KEY)
+        .when(F.col("tx_time").isNull(), BAD_TIME)
     )
+    return decoded.withColumn("reject_reason", reason).drop("_corrupt")
 
 
 def parse_transactions(messages: DataFrame) -> DataFrame:
@@ -90,11 +93,8 @@ def parse_transactions(messages: DataFrame) -> DataFrame:
     Batch or stream; ``tx_at`` becomes a timestamp.  Streams add their watermark on top
     (:func:`tillwatch.streaming.live.watermarked`).
     """
-    payload = StructType.fromDDL(TX_PAYLOAD)
-    tx = F.from_json(F.col("value").cast("string"), payload).alias("tx")
     return (
-        messages.select(tx)
-        .select("tx.*")
+        json_columns(messages, TX_PAYLOAD)
         .withColumn("tx_at", _iso_time(F.col("tx_at")))
         .filter(F.col("tx_id").isNotNull() & F.col("tx_at").isNotNull())
     )

@@ -23,18 +23,24 @@ def append_bucketed(rows: DataFrame, table: str, key: str = "tx_id", buckets: in
     """Append to a table bucketed by ``key``: later joins and lookups on the key leave the stored
     side where it is.  Choose ``buckets`` so that one bucket of one load stays near 1 GB."""
     (
-        rows.write.mode("append").format("parquet")
+        # one writer per bucket, hence one file per bucket and load
+        rows.repartition(buckets, key)
+        .write.mode("append").format("parquet")
         .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     )
 
 
 def overwrite_table(rows: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Materialise a model; marts are partitioned by date so that date filters prune files."""
-    writer = rows.write.mode("overwrite").format("parquet")
+    """Materialise a model; marts are partitioned by date so that date filters prune files.
+
+    Rows of one date are brought together so that a date has few files, but by rebalancing: adaptive
+    execution splits a date that is too large for one task and merges small ones.
+    """
     if partition_by:
-        rows = rows.repartition(partition_by)
-        writer = rows.write.mode("overwrite").format("parquet").partitionBy(partition_by)
-    writer.saveAsTable(table)
+        writer = rows.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    else:
+        writer = rows.write
+    writer.mode("overwrite").format("parquet").saveAsTable(table)
 
 
 def overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
