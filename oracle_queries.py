@@ -339,6 +339,11 @@ ORACLES = {
     "fraud_score": f"with {SCORED} select {_SCORE_COLUMNS} from scored",
     "flagged_transactions": f"with {SCORED} select {_SCORE_COLUMNS} from scored where is_flagged",
     "alerts": f"with {ALERTS} select * from alerts",
+    "alert_payload_json": f"""with {ALERTS} select user_id as key, cast(to_json({{'tx_id': tx_id,
+        'user_id': user_id, 'merchant': merchant, 'amount': amount, 'country': country,
+        'tx_at': tx_at, 'fraud_score': fraud_score, 'triggered_rules': triggered_rules,
+        'velocity_score': velocity_score, 'amount_spike': amount_spike,
+        'geo_anomaly': geo_anomaly}}) as varchar) as value from alerts""",
     "alert_state_totals": f"""with {ALERTS} select count(*) as total_fraud_alerts,
         (select count(*) from raw) as raw_transactions from alerts""",
     "alert_state_by_user": f"""with {ALERTS} select user_id, count(*) as alert_count,

@@ -17,6 +17,8 @@ only = sys.argv[2:]
 spark = spark_session("check", "local[8]", spark__sql__shuffle__partitions="8",
                       spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
 spark.sparkContext.setLogLevel("ERROR")
+if os.environ.get("CHECK_TZ"):
+    spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
 con = oc.connect(sf)
 oracles = oracle_sql()
 bad = []

@@ -7,8 +7,9 @@ one slide-wide slot lies in exactly the same windows.  The rules below work on t
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -52,3 +53,15 @@ def floor_hour(ts: Column) -> Column:
 
 def hours_between(earlier: Column, later: Column) -> Column:
     return (epoch_micros(later) - epoch_micros(earlier)) / F.lit(3.6e9)
+
+
+def as_utc(ts: Column) -> Column:
+    """A ``timestamp`` (an instant) as zone-less UTC, whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
+def zoneless(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as zone-less UTC, be it an instant or zone-less already."""
+    if isinstance(df.schema[name].dataType, TimestampType):
+        return as_utc(F.col(name))
+    return F.col(name).cast("timestamp_ntz")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.exact import count_where
 from tillwatch.functions.fixed import DAY_NAMES
-from tillwatch.functions.timegrid import floor_hour
+from tillwatch.functions.timegrid import as_utc, floor_hour, zoneless
 from tillwatch.schemas import ALERT_FIELDS
 from tillwatch.sources.messages import json_columns
 
@@ -33,7 +33,7 @@ def to_alerts(flagged: DataFrame, batch_id: Column | str) -> DataFrame:
         "merchant",
         F.col("amount").cast("double").alias("amount"),
         F.col("country_code").alias("country"),
-        F.col("tx_at").cast("timestamp_ntz").cast("string").alias("tx_at"),
+        zoneless(flagged, "tx_at").cast("string").alias("tx_at"),
         F.coalesce("fraud_score", F.lit(1)).alias("fraud_score"),
         F.coalesce("triggered_rules", F.lit("")).alias("triggered_rules"),
         F.coalesce("velocity_score", F.lit(0)).alias("velocity_score"),
@@ -82,7 +82,7 @@ def _alert_time() -> Column:
     """
     text = F.col("tx_at")
     zoned = text.rlike("(Z|[+-][0-9]{2}:?[0-9]{2})$")
-    return F.when(zoned, F.try_to_timestamp(text).cast("timestamp_ntz")).otherwise(
+    return F.when(zoned, as_utc(F.try_to_timestamp(text))).otherwise(
         text.try_cast("timestamp_ntz")
     )
 

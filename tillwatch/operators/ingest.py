@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwatch.functions.timegrid import zoneless
+
 # Column defaults of the raw transaction table.
 DEFAULT_CURRENCY = "VND"
 DEFAULT_IS_FRAUD = False
@@ -19,7 +21,7 @@ def with_defaults(parsed: DataFrame, ingested_at: Column | None = None) -> DataF
         F.col("amount").cast("decimal(15,2)").alias("amount"),
         F.coalesce("currency", F.lit(DEFAULT_CURRENCY)).alias("currency"),
         "country",
-        F.col("tx_at").cast("timestamp_ntz").alias("tx_at"),
+        zoneless(parsed, "tx_at").alias("tx_at"),
         "device",
         F.coalesce("is_fraud", F.lit(DEFAULT_IS_FRAUD)).alias("is_fraud"),
         "fraud_reason",

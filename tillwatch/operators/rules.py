@@ -207,15 +207,16 @@ def _median_small(df: DataFrame, window: str, slide: str) -> DataFrame:
     """
     length, step = window_grid(window, slide)
     spec = _per_user(F.col("_slot_m"))
-    median = F.percentile_approx(F.col("amount").cast("double"), 0.5, MEDIAN_ACCURACY)
+    median = F.percentile_approx("_amount", 0.5, MEDIAN_ACCURACY)
     lowest_ending = F.min(_usable(F.col("_ending"))).over(spec.rangeBetween(0, length - step))
     lowest_after = F.min(_usable(F.col("_after"))).over(spec.rangeBetween(-length, -step))
     return (
-        df.withColumn("_slot_m", slot(F.col("tx_at"), step))
-        .withColumn("_ending", median.over(spec.rangeBetween(step - length, 0)))
-        .withColumn("_after", median.over(spec.rangeBetween(step, length)))
+        df.withColumns({"_slot_m": slot(F.col("tx_at"), step),
+                        "_amount": F.col("amount").cast("double")})
+        .withColumns({"_ending": median.over(spec.rangeBetween(step - length, 0)),
+                      "_after": median.over(spec.rangeBetween(step, length))})
         .withColumn("_median", F.least(lowest_ending, lowest_after))
-        .drop("_slot_m", "_ending", "_after")
+        .drop("_slot_m", "_amount", "_ending", "_after")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.functions.timegrid import floor_millis
+from tillwatch.functions.timegrid import floor_millis, zoneless
 
 
 def stg_transactions(raw: DataFrame) -> DataFrame:
@@ -22,10 +22,10 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
         F.col("amount").cast("decimal(15,2)").alias("amount"),
         F.upper(F.trim("currency")).alias("currency"),
         F.upper(F.trim("country")).alias("country_code"),
-        floor_millis(F.col("tx_at").cast("timestamp_ntz")).alias("tx_at"),
+        floor_millis(zoneless(raw, "tx_at")).alias("tx_at"),
         F.lower(F.trim("device")).alias("device"),
         F.coalesce("is_fraud", F.lit(False)).alias("is_fraud"),
         "fraud_reason",
         "ingested_at",
-        F.to_date("tx_at").alias("tx_date"),
+        F.to_date(zoneless(raw, "tx_at")).alias("tx_date"),
     )

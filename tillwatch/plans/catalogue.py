@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.functions.fixed import lookup
+from tillwatch.functions.timegrid import as_utc
 from tillwatch.operators import alerts as al
 from tillwatch.operators import ingest, observe, quality, revenue, rules
 from tillwatch.operators.staging import stg_transactions
@@ -140,7 +141,7 @@ def _score_columns(df: DataFrame) -> DataFrame:
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
     parsed = messages.parse_transactions(event_messages(events(spark, sf)))
-    return parsed.withColumn("tx_at", F.col("tx_at").cast("timestamp_ntz"))
+    return parsed.withColumn("tx_at", as_utc(F.col("tx_at")))
 
 
 def _since(df: DataFrame, day: str) -> DataFrame:
