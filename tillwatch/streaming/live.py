@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tillwatch.session import checkpoint_root
 from tillwatch.sources.messages import parse_transactions
 from tillwatch.streaming.sinks import TRIGGER, AlertSink, IngestSink, start
 from tillwatch.streaming.trailing import trailing_score
@@ -24,13 +25,17 @@ STATE_SETTINGS = {
 }
 
 
-def run_alerts(messages: DataFrame, sink: AlertSink, checkpoint: str,
+def run_alerts(messages: DataFrame, sink: AlertSink, checkpoint: str | None = None,
                trigger: str | None = TRIGGER) -> StreamingQuery:
+    """Score the stream into ``sink``; the checkpoint defaults to the cluster's shared folder."""
+    checkpoint = checkpoint or f"{checkpoint_root(messages.sparkSession)}/alerts"
     for key, value in STATE_SETTINGS.items():
         messages.sparkSession.conf.set(key, value)
     return start(live_scores(messages), sink, checkpoint, trigger)
 
 
-def run_ingest(messages: DataFrame, sink: IngestSink, checkpoint: str,
+def run_ingest(messages: DataFrame, sink: IngestSink, checkpoint: str | None = None,
                trigger: str | None = TRIGGER) -> StreamingQuery:
+    """Store the stream's transactions and dead letters; offsets live in the checkpoint."""
+    checkpoint = checkpoint or f"{checkpoint_root(messages.sparkSession)}/ingest"
     return start(messages, sink, checkpoint, trigger)

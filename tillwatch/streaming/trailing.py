@@ -45,30 +45,48 @@ def four_digits(values: np.ndarray) -> np.ndarray:
     return np.round(values / unit) * unit
 
 
-def fold(h: pd.DataFrame) -> pd.DataFrame:
-    """Histogram (slot, amount, n); crowded slots keep four digits per amount."""
-    h = h.groupby(["slot", "amount"], as_index=False)["n"].sum()
-    crowded = h.groupby("slot")["amount"].transform("size") > EXACT_AMOUNTS
-    if crowded.any():
-        h.loc[crowded, "amount"] = four_digits(h.loc[crowded, "amount"].to_numpy())
-        h = h.groupby(["slot", "amount"], as_index=False)["n"].sum()
-    return h
+def _merge(slot: np.ndarray, amount: np.ndarray, n: np.ndarray) -> tuple:
+    """Sum ``n`` over equal (slot, amount); the result is ordered by both."""
+    order = np.lexsort((amount, slot))
+    slot, amount, n = slot[order], amount[order], n[order]
+    first = np.flatnonzero(np.concatenate(
+        [[True], (slot[1:] != slot[:-1]) | (amount[1:] != amount[:-1])])[:len(slot)])
+    return slot[first], amount[first], np.add.reduceat(n, first) if len(first) else n
 
 
-class RunningMedian:
-    """Lower median of a growing multiset over known values (counts in a binary indexed tree)."""
+def fold(slot: np.ndarray, amount: np.ndarray, n: np.ndarray) -> tuple:
+    """Histogram (slot, amount, n); crowded slots keep four digits per amount."""
+    slot, amount, n = _merge(slot, amount, n)
+    if len(slot) > EXACT_AMOUNTS:
+        _, where, size = np.unique(slot, return_inverse=True, return_counts=True)
+        crowded = size[where] > EXACT_AMOUNTS
+        if crowded.any():
+            amount = np.where(crowded, four_digits(amount), amount)
+            slot, amount, n = _merge(slot, amount, n)
+    return slot, amount, n
 
-    def __init__(self, values: np.ndarray) -> None:
-        self.values = np.unique(values)
-        self.tree = np.zeros(len(self.values) + 1, "int64")
-        self.total = 0
-        self.top = 1 << max(len(self.values).bit_length() - 1, 0)
 
-    def add(self, value: float, n: int = 1) -> None:
+class RunningMedian:
+    """Lower median of a growing multiset (counts in a binary indexed tree).
+
+    Starts with ``n`` copies of each of ``start``; ``later`` names the values still to be added.
+    """
+
+    def __init__(self, start: np.ndarray, n: np.ndarray, later: np.ndarray) -> None:
+        self.values = np.unique(np.concatenate([start, later]))
+        size = len(self.values)
+        counts = np.bincount(np.searchsorted(self.values, start), weights=n, minlength=size)
+        upto = np.concatenate([[0], np.cumsum(counts)]).astype("int64")
+        i = np.arange(1, size + 1)
+        self.tree = np.concatenate([[0], upto[i] - upto[i - (i & -i)]])
+        self.total = int(upto[-1])
+        self.top = 1 << max(size.bit_length() - 1, 0)
+
+    def add(self, value: float) -> None:
         i = int(np.searchsorted(self.values, value)) + 1
-        self.total += n
+        self.total += 1
         while i < len(self.tree):
-            self.tree[i] += n
+            self.tree[i] += 1
             i += i & -i
 
     def median(self) -> float | None:
@@ -91,23 +109,24 @@ def counts_to(at: np.ndarray, ms: np.ndarray, n: np.ndarray) -> np.ndarray:
             - before[np.searchsorted(ms, at - MINUTE_MS, "right")])
 
 
-def running_medians(slot: np.ndarray, value: np.ndarray, h: pd.DataFrame) -> list[float | None]:
+def running_medians(slot: np.ndarray, value: np.ndarray, hist: tuple) -> list[float | None]:
     """Per new value (in time order), the median of the SLOTS hour slots that end with its own,
-    over the stored histogram ``h`` and the new values so far."""
+    over the stored histogram and the new values so far."""
     medians: list[float | None] = []
+    one = np.ones(len(slot), "int64")
+    known = ~np.isnan(value)
+    all_slot = np.concatenate([hist[0], slot[known]])
+    all_value = np.concatenate([hist[1], value[known]])
+    all_n = np.concatenate([hist[2], one[known]])
+    stored = len(hist[0])
     for start in np.unique(slot):
-        live = h[(h["slot"] > start - SLOTS * HOUR_MS) & (h["slot"] <= start)]
-        earlier = (slot < start) & (slot > start - SLOTS * HOUR_MS)
-        own = slot == start
-        known = np.concatenate([live["amount"].to_numpy(), value[earlier | own]])
-        ranks = RunningMedian(known[~np.isnan(known)])
-        for v, n in zip(live["amount"], live["n"]):
-            ranks.add(v, n)
-        for v in value[earlier]:
-            if not np.isnan(v):
-                ranks.add(v)
-        for v in value[own]:
-            if not np.isnan(v):
+        # everything of the earlier slots, and what was stored of this one
+        base = (all_slot > start - SLOTS * HOUR_MS) & (all_slot < start)
+        base[:stored] |= hist[0] == start
+        own = value[slot == start]
+        ranks = RunningMedian(all_value[base], all_n[base], own[~np.isnan(own)])
+        for v in own:
+            if v == v:
                 ranks.add(v)
             medians.append(ranks.median())
     return medians
@@ -133,17 +152,18 @@ class TrailingScorer(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
         # one user's share of one micro-batch; the source's rate cap bounds it
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["tx_at", "tx_id"])
-        at = batch["tx_at"].astype("datetime64[us]").astype("int64").to_numpy() // 1000
+        frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        if len(batch) > 1:
+            batch = batch.sort_values(["tx_at", "tx_id"])
+        at = batch["tx_at"].to_numpy("datetime64[us]").astype("int64") // 1000
         stored = self.state.get() if self.state.exists() else ([],) * 7
-        ms, ms_n, country, country_ms, slot, amount, amount_n = stored
-
-        ms = np.concatenate([np.asarray(ms, "int64"), at])
-        ms_n = np.concatenate([np.asarray(ms_n, "int64"), np.ones(len(at), "int64")])
-        last = dict(zip(country, country_ms))
-        hist = pd.DataFrame({"slot": np.asarray(slot, "int64"),
-                             "amount": np.asarray(amount, "float64"),
-                             "n": np.asarray(amount_n, "int64")})
+        one = np.ones(len(at), "int64")
+        ms = np.concatenate([np.asarray(stored[0], "int64"), at])
+        ms_n = np.concatenate([np.asarray(stored[1], "int64"), one])
+        last = dict(zip(stored[2], stored[3]))
+        hist = (np.asarray(stored[4], "int64"), np.asarray(stored[5], "float64"),
+                np.asarray(stored[6], "int64"))
         now_slot, value = at - at % HOUR_MS, batch["amount"].to_numpy("float64")
         scored = batch.assign(
             tx_count_60s=counts_to(at, ms, ms_n),
@@ -155,13 +175,15 @@ class TrailingScorer(StatefulProcessor):
         near = ms > newest - 2 * MINUTE_MS
         keep_ms, where = np.unique(ms[near], return_inverse=True)
         keep_n = np.bincount(where, weights=ms_n[near]).astype("int64")
-        new = pd.DataFrame({"slot": now_slot, "amount": value, "n": 1})
-        hist = fold(pd.concat([hist, new[new["amount"].notna()]]))
-        hist = hist[hist["slot"] > newest - (SLOTS + 1) * HOUR_MS]
+        known = ~np.isnan(value)
+        slot, amount, n = (np.concatenate([old, new[known]])
+                           for old, new in zip(hist, (now_slot, value, one)))
+        recent = slot > newest - (SLOTS + 1) * HOUR_MS
+        slot, amount, n = fold(slot[recent], amount[recent], n[recent])
         last = {c: t for c, t in last.items() if t >= newest - 2 * GEO_MS}
         self.state.update((
             keep_ms.tolist(), keep_n.tolist(), list(last), list(last.values()),
-            hist["slot"].tolist(), hist["amount"].tolist(), hist["n"].tolist(),
+            slot.tolist(), amount.tolist(), n.tolist(),
         ))
         self.handle.registerTimer(newest + (SLOTS + 1) * HOUR_MS)
         yield scored[[*INPUT, "tx_count_60s", "user_median_amount", "geo_anomaly_flag"]]
