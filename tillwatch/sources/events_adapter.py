@@ -9,11 +9,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the fixture: merchant by event_id modulo 11.
-_MERCHANTS = [
-    "Grab", " Shopee", "VinMart", "MoMo ", "Tiki", "Highlands", "Circle K", "ZaloPay", "VNPay",
-    "Lazada", "Corner Shop",
-]
+# Fixed values of the fixture: each raw column as a Spark SQL expression over events.
+RAW_COLUMNS = {
+    "tx_id": "if(event_id % 499 <> 7, concat('tx-', event_id), null)",
+    "user_id": "concat(' user_', lpad(cast(user_id as string), 4, '0'), ' ')",
+    "merchant": "elt(cast(event_id % 11 as int) + 1, 'Grab', ' Shopee', 'VinMart', 'MoMo ', 'Tiki', "
+                "'Highlands', 'Circle K', 'ZaloPay', 'VNPay', 'Lazada', 'Corner Shop')",
+    "amount": "cast(case when event_id % 97 = 5 then -value when event_id % 103 <> 9 then value end "
+              "as decimal(15,2))",
+    "currency": "' vnd'",
+    "country": "case when event_id * 37 % 100 < 85 then 'vn' when event_id * 37 % 100 < 90 then 'US' "
+               "when event_id * 37 % 100 < 94 then 'SG ' when event_id * 37 % 100 < 97 then 'JP' "
+               "when event_id * 37 % 100 < 99 then 'KR' else 'GB' end",
+    "tx_at": "if(event_id % 503 <> 11, ts, null)",
+    "device": "case event_type when 'click' then 'Mobile' when 'view' then ' web' "
+              "when 'purchase' then 'kiosk' else 'pos' end",
+    "is_fraud": "case when event_type = 'error' and event_id % 4 = 0 then true "
+                "when event_type <> 'signup' then false end",
+    "fraud_reason": "case when event_type = 'error' and event_id % 4 = 0 then 'amount_spike' end",
+    "ingested_at": "ts + interval 7 minutes",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,29 +37,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_transactions(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``events`` with the columns and types of the raw transaction table, ``keep`` columns first."""
-    n = F.col("event_id")
-    place = F.pmod(n * 37, F.lit(100))
-    confirmed_fraud = (F.col("event_type") == "error") & (n % 4 == 0)
-    return events.select(
-        *(keep or []),
-        F.when(n % 499 != 7, F.concat(F.lit("tx-"), n.cast("string"))).alias("tx_id"),
-        F.concat(F.lit(" user_"), F.lpad(F.col("user_id").cast("string"), 4, "0"), F.lit(" "))
-        .alias("user_id"),
-        F.element_at(F.array(*map(F.lit, _MERCHANTS)), (n % 11 + 1).cast("int"))
-        .alias("merchant"),
-        F.when(n % 97 == 5, -F.col("value")).when(n % 103 != 9, F.col("value"))
-        .cast("decimal(15,2)").alias("amount"),
-        F.lit(" vnd").alias("currency"),
-        F.when(place < 85, "vn").when(place < 90, "US").when(place < 94, "SG ")
-        .when(place < 97, "JP").when(place < 99, "KR").otherwise("GB").alias("country"),
-        F.when(n % 503 != 11, F.col("ts")).alias("tx_at"),
-        F.when(F.col("event_type") == "click", "Mobile").when(F.col("event_type") == "view", " web")
-        .when(F.col("event_type") == "purchase", "kiosk").otherwise("pos").alias("device"),
-        F.when(confirmed_fraud, True).when(F.col("event_type") != "signup", False)
-        .alias("is_fraud"),
-        F.when(confirmed_fraud, "amount_spike").alias("fraud_reason"),
-        (F.col("ts") + F.expr("interval 7 minutes")).alias("ingested_at"),
-    )
+    return events.selectExpr(*(keep or []), *[f"{e} as {c}" for c, e in RAW_COLUMNS.items()])
 
 
 def event_messages(events: DataFrame) -> DataFrame:
