@@ -21,6 +21,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _plain(value):
     if value is None:
         return None
+    if isinstance(value, list):
+        return tuple(map(_plain, value))
     if isinstance(value, float):
         return "nan" if math.isnan(value) else value
     if hasattr(value, "isoformat"):
