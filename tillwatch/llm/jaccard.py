@@ -14,10 +14,12 @@ and is still found by all of them.  Signatures held by more than three sets (com
 dropped that way; sets that hold more of these than they can drop (members of large groups of near
 copies) are crowded and keep them.  Sets with too few non-empty partitions share one more signature.
 
-Links are then looked for until no unseen link could join two components:
-1. each set is compared with the smallest id it shares a signature with (for crowded sets: also in
-   crowded signatures); components follow;
-2. pairs within signatures of at most three sets that still lie in different components are compared;
+Links are then looked for until no unseen link could join two components.  Similar sets share at
+least one signature more than either can spare, less those that are crowded, so pairs that share fewer
+are none; pairs are counted only within signatures of at most three sets.
+1. pairs that share enough of these are compared, and each crowded set with the first set of the
+   crowded signatures it has most in common with; components follow;
+2. pairs that share enough only if crowded signatures are added, and lie in different components;
 3. in every crowded signature that still holds several components, the sets outside its largest one
    are queries: blocks of them, as a feature index, meet all crowded sets (rows, not pairs, move).
 Comparison is exact on the features: 100 * shared >= percent * union.
@@ -90,6 +92,13 @@ class Bands:
         """Signatures that a set gives beyond the needed ones; never fewer for a larger set."""
         return 2 + size // 12
 
+    def salt(self, band: np.ndarray) -> np.ndarray:
+        return mix(band.astype(np.uint64) + _U(77))
+
+    def last_resort(self, band: np.ndarray) -> np.ndarray:
+        """The signature of all sets of a band with too few non-empty partitions."""
+        return mix(self.salt(band) + _U(99))
+
     def differing(self, size: np.ndarray, partner: np.ndarray) -> np.ndarray:
         """Most features in which sets of these sizes may differ."""
         return (size + partner) * (100 - self.percent) // (100 + self.percent)
@@ -117,7 +126,7 @@ def signatures(values: np.ndarray, counts: np.ndarray, bands: Bands) -> tuple[np
         where = np.repeat(np.arange(len(which)), size)
         at = np.arange(len(where)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(ends[which] - size, size)
         feature = values[at]
-        salt = mix(band.astype(np.uint64) + _U(77))
+        salt = bands.salt(band)
         tiny = band == 0
         parts = np.where(tiny, 1, bands.partitions(band)).astype(np.uint64)
         spread = mix(feature ^ salt[where]) >> _U(32)
@@ -138,7 +147,7 @@ def signatures(values: np.ndarray, counts: np.ndarray, bands: Bands) -> tuple[np
         spare = np.where(tiny, full - need, bands.spare(partner))
         spare[poor] = -1
         text = np.concatenate([of[keep], poor])
-        out.append((np.concatenate([sign[keep], mix(salt[poor] + _U(99))]), which[text], np.full(len(text), role), spare[text]))
+        out.append((np.concatenate([sign[keep], bands.last_resort(band[poor])]), which[text], np.full(len(text), role), spare[text]))
     if not out:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -237,23 +246,40 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # sets that lack signatures of their own once the crowded ones are left out
     many = groups.filter(F.col("n") > FEW).select("sign")
     worn = signed.join(small(many), "sign").groupBy("doc_id", "role").agg(F.count(F.lit(1)).alias("lost"), F.first("spare").alias("spare"), F.collect_set("sign").alias("signs"))
-    crowded = stored(worn.filter("lost > spare").select("doc_id", F.explode("signs").alias("sign")), "crowded")
-
-    # 1: the smallest id met
-    least = few.select(F.explode(F.array("y", "z")).alias("b"), F.col("x").alias("a")).filter("b is not null")
+    worn = stored(worn.select("doc_id", "lost", F.when(F.col("lost") > F.col("spare"), F.col("signs")).alias("signs")), "worn")
+    crowded = stored(worn.filter("signs is not null").select("doc_id", F.explode("signs").alias("sign")), "crowded")
+
+    # pairs of small groups, and how many signatures they must share
+    special = [int(x) for x in bands.last_resort(np.arange(len(bands.lows))).view(np.int64)]
+    pairs = few.select(
+        F.explode(F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in (("x", "y"), ("x", "z"), ("y", "z"))))).alias("p"),
+        F.col("sign").isin(special).alias("special"),
+    )
+    pairs = pairs.select("p.*", "special").filter("a is not null and b is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("special").alias("special"))
+    size, lost = sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("s")), worn.groupBy("doc_id").agg(F.sum("lost").alias("l"))
+    for side in ("a", "b"):
+        pairs = pairs.join(size.toDF(side, "s" + side), side).join(lost.toDF(side, "l" + side), side, "left")
+    low, high = F.least("sa", "sb"), F.greatest("sa", "sb")
+    spare = F.floor((low * percent + 99) / 100)
+    spare = F.when(low <= TINY, 0).otherwise(2 + F.floor(spare / 12))
+    given = F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0)))
+    pairs = pairs.filter(low * 100 >= high * percent)
+    pairs = stored(pairs.select("a", "b", (F.col("shared") > spare).alias("strong"), ((F.col("shared") + given > spare) | F.col("special")).alias("possible")).filter("possible"), "pairs")
+
+    # 1: strong pairs, and crowded sets with the head of most of their signatures
     heads = crowded.groupBy("sign").agg(F.min("doc_id").alias("a"))
-    least = least.unionByName(crowded.join(heads, "sign").select(F.col("doc_id").alias("b"), "a"))
-    first = stored(least.filter("a < b").groupBy("b").agg(F.min("a").alias("a")), "pairs")
+    met = crowded.join(heads, "sign").filter("a < doc_id").groupBy("doc_id", "a").agg(F.count(F.lit(1)).alias("n"))
+    met = met.groupBy(F.col("doc_id").alias("b")).agg(F.max(F.struct("n", -F.col("a"), "a")).alias("m")).select("m.a", "b")
+    first = stored(pairs.filter("strong").select("a", "b").unionByName(met).distinct(), "first")
     links = copies.unionByName(join.links(first))
     found = stored(components(links), "components")
 
-    # 2: other pairs of small groups
-    pairs = few.select(F.explode(F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in (("x", "y"), ("x", "z"), ("y", "z"))))).alias("p"))
-    pairs = pairs.select("p.*").filter("a is not null and b is not null").distinct().join(first, ["a", "b"], "left_anti")
+    # 2: pairs that may have shared crowded signatures too
+    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
-        pairs = pairs.join(found.select(F.col("node").alias(side), F.col("component").alias("c" + side)), side, "left")
-    pairs = stored(pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "pairs")
-    links = links.unionByName(join.links(pairs))
+        rest = rest.join(found.select(F.col("node").alias(side), F.col("component").alias("c" + side)), side, "left")
+    rest = stored(rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "rest")
+    links = links.unionByName(join.links(rest))
     found = stored(components(links), "components")
 
     # 3: crowded signatures that hold several components
