@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,24 +95,31 @@ def _spell(batches: Iterator[pa.RecordBatch], wanted: np.ndarray, length: int) -
             )
 
 
-def _repeats(group: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Removed spans of one shard: matching statistics of each segment against all before it."""
-    group = group.sort_values(["doc_id", "first"], kind="stable")
-    sam, ids, firsts, lasts = SuffixAutomaton(), [], [], []
-    for doc, first, words in zip(group["doc_id"].tolist(), group["first"].tolist(), group["words"].tolist()):
-        words = words.split(b" ")
-        begin = end = -1
-        for at, (_, matched) in enumerate(sam.stream(words)):
-            if matched >= length:
-                if at + 1 - length > end:
-                    if end >= 0:
-                        ids.append(doc), firsts.append(first + begin), lasts.append(first + end)
-                    begin = at + 1 - length
-                end = at + 1
-        if end >= 0:
-            ids.append(doc), firsts.append(first + begin), lasts.append(first + end)
-        sam.add(words)
-    return pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "first": pd.Series(firsts, dtype="int32"), "last": pd.Series(lasts, dtype="int32")})
+def _repeats(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Removed spans, shard after shard: matching statistics of each segment against the shard's segments before it.
+
+    Rows come sorted by shard, doc_id, first; only the automaton of one shard is held.
+    """
+    shard, sam = None, SuffixAutomaton()
+    for batch in batches:
+        ids, firsts, lasts = [], [], []
+        for key, doc, first, text in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "first", "words"))):
+            words = text.split(b" ")
+            if key != shard:
+                shard, sam = key, SuffixAutomaton()
+            else:
+                begin = end = -1
+                for at, (_, matched) in enumerate(sam.stream(words)):
+                    if matched >= length:
+                        if at + 1 - length > end:
+                            if end >= 0:
+                                ids.append(doc), firsts.append(first + begin), lasts.append(first + end)
+                            begin = at + 1 - length
+                        end = at + 1
+                if end >= 0:
+                    ids.append(doc), firsts.append(first + begin), lasts.append(first + end)
+            sam.add(words)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())], names=["doc_id", "first", "last"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -161,7 +167,8 @@ def repeated_spans(
     spelt = spelt.join(mine, ["shard", "body"]).filter("doc_id = doc_0 and first = first_0").dropDuplicates(["shard", "body"]).drop("doc_0", "first_0", "body")
     spelt = stored(spelt.join(sizes, "shard"), "spelt")
     spans = "doc_id long, first int, last int"
-    shards = spelt.filter(F.col("n_segments") <= shard_segments).groupBy("shard").applyInPandas(lambda g: _repeats(g, length), spans)
+    shards = spelt.filter(F.col("n_segments") <= shard_segments).select("shard", "doc_id", "first", "words").repartition("shard")
+    shards = shards.sortWithinPartitions("shard", "doc_id", "first").mapInArrow(lambda b: _repeats(b, length), spans)
     alone = spelt.filter(F.col("n_segments") > shard_segments).mapInArrow(lambda b: _windows(b, length), "doc_id long, first int, window binary")
     alone = stored(alone.select("doc_id", "first", F.md5("window").alias("w")), "windows")
     earliest = alone.groupBy("w").agg(F.min(F.struct("doc_id", "first")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
