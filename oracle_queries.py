@@ -154,8 +154,7 @@ select cast(tx_date - date '1970-01-01' as bigint) as batch_id, tx_id, user_id,
   cast(amount as double) as amount, country_code as country, cast(tx_at as varchar) as tx_at,
   fraud_score, triggered_rules, velocity_score, amount_spike_flag as amount_spike,
   geo_anomaly_flag as geo_anomaly
-from scored where is_flagged),
-newest as (select * from alerts order by batch_id desc, tx_at desc, tx_id desc limit 1000)"""
+from scored where is_flagged)"""
 
 BREAKER = SCORED + """, breaker as (
 select *, fraud_rate > 0.20 as tripped,
@@ -306,9 +305,10 @@ ORACLES = {
         order by date desc, merchant nulls first, country_code nulls first limit 30""",
     "revenue_daily_by_merchant": f"""with {MART} select {_MART_COLUMNS} from mart
         where merchant = 'Grab' order by date desc, country_code nulls first limit 30""",
-    "fraud_rate_trend": f"""with {MART} select date, merchant, country_code, fraud_rate_pct from (
-        select * from mart order by date desc, merchant nulls first, country_code nulls first
-        limit 30)""",
+    "fraud_rate_trend": f"""with {MART} select date, sum(tx_count)::bigint as total_tx,
+        sum(fraud_tx_count)::bigint as total_fraud_tx,
+        {half_up('100 * sum(fraud_tx_count)', 'sum(tx_count)', 4)} as fraud_rate_pct
+        from mart group by date""",
     "overall_fraud_rate": f"with {MART}, {_OVERALL} select * from overall",
     "velocity_windows": f"""with {DAY_ROWS} select user_id, ws as window_start,
         ws + interval '24 hours' as window_end, count(*) as tx_count_60s from w24 group by all""",
@@ -353,11 +353,10 @@ ORACLES = {
         order by batch_id desc, tx_at desc, tx_id desc limit 50""",
     "fraud_trend_hourly": f"""with {ALERTS} select
         strftime(date_trunc('hour', cast(tx_at as timestamp)), '%Y-%m-%dT%H:00:00') as hour,
-        count(*) as count from newest
+        count(*) as count from alerts
         where cast(tx_at as timestamp) >= timestamp '2024-01-30 00:00:00' group by 1""",
-    "fraud_heatmap": f"with {ALERTS}{_heatmap('newest')} select * from heat",
-    "fraud_heatmap_all": f"with {ALERTS}{_heatmap('alerts')} select * from heat",
-    "fraud_heatmap_pivot": f"with {ALERTS}{_heatmap('newest')} select day_no, day, "
+    "fraud_heatmap": f"with {ALERTS}{_heatmap('alerts')} select * from heat",
+    "fraud_heatmap_pivot": f"with {ALERTS}{_heatmap('alerts')} select day_no, day, "
         + ", ".join(f"cast(sum(count) filter (where hour = {h}) as bigint) as h{h:02d}"
                     for h in range(24))
         + " from heat group by day_no, day",
@@ -399,9 +398,9 @@ ORACLES = {
             else 'stale' end as status from hours""",
     "freshness_history": f"with {FRESH} select {_FRESH_COLUMNS} from fresh",
     "latest_freshness": f"with {FRESH} select {_FRESH_COLUMNS} from fresh {_LATEST}",
-    "stale_notices": f"""with {FRESH} select source_name, checked_at, concat('Table ', source_name,
-        ' is STALE. Last updated: ', cast(last_updated as varchar), '. Hours since update: ',
-        printf('%.1f', h), 'h (SLA: ', cast(sla_hours as varchar), 'h)') as notice
+    "stale_notices": f"""with {FRESH} select source_name, checked_at, concat(source_name, ': no update for ',
+        printf('%.1f', h), ' hours, allowed are ', cast(sla_hours as varchar), '; newest row: ',
+        cast(last_updated as varchar)) as notice
         from fresh where status = 'stale'""",
     "data_debt": f"""with {FRESH}, {DIFFS}, points as (
         select case status when 'stale' then 20 else 10 end as p,

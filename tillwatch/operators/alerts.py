@@ -1,6 +1,6 @@
 """The alerts table and every read on top of it.
 
-Alerts are appended, never trimmed: the "newest 1000" of the live list is a bound at read time.
+Alerts are appended, never trimmed, and every count reads all of them.
 Arrival order is (batch_id, tx_at, tx_id), newest first.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwatch.functions.exact import count_where
 from tillwatch.functions.fixed import DAY_NAMES
@@ -15,9 +16,7 @@ from tillwatch.functions.timegrid import as_utc, floor_hour, zoneless
 from tillwatch.schemas import ALERT_FIELDS
 from tillwatch.sources.messages import json_columns
 
-ALERT_COLUMNS = [field.split()[0] for field in ALERT_FIELDS.split(", ")]
-
-# List length, breaker threshold and hold time.
+# Longest page of recent alerts, breaker threshold and hold time.
 MAX_ALERTS = 1000
 BREAKER_RATE = 0.20
 BREAKER_SECONDS = 300
@@ -44,7 +43,7 @@ def to_alerts(flagged: DataFrame, batch_id: Column | str) -> DataFrame:
 
 def alert_payload(alerts: DataFrame) -> DataFrame:
     """``key`` = user_id, ``value`` = the eleven fields as JSON, nulls kept."""
-    body = F.to_json(F.struct(*ALERT_COLUMNS), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct(*StructType.fromDDL(ALERT_FIELDS).names), {"ignoreNullFields": "false"})
     return alerts.select(F.col("user_id").alias("key"), body.alias("value"))
 
 
@@ -69,12 +68,6 @@ def recent_alerts(alerts: DataFrame, limit: int = 50) -> DataFrame:
     return alerts.orderBy(*_newest_first()).limit(limit)
 
 
-def _newest(alerts: DataFrame, max_alerts: int | None) -> DataFrame:
-    if max_alerts is None:
-        return alerts
-    return alerts.orderBy(*_newest_first()).limit(max_alerts)
-
-
 def _alert_time() -> Column:
     """tx_at text as a zone-less UTC time; unreadable text is null.
 
@@ -87,12 +80,10 @@ def _alert_time() -> Column:
     )
 
 
-def alert_trend_hourly(alerts: DataFrame, now: Column, max_alerts: int | None = MAX_ALERTS
-                       ) -> DataFrame:
-    """Alert counts per hour of the last 24 hours before ``now``, over the newest alerts."""
+def alert_trend_hourly(alerts: DataFrame, now: Column) -> DataFrame:
+    """Alert counts per hour of the last 24 hours before ``now``."""
     return (
-        _newest(alerts, max_alerts)
-        .withColumn("_t", _alert_time())
+        alerts.withColumn("_t", _alert_time())
         .filter(F.col("_t") >= now - F.expr("interval 24 hours"))
         .groupBy(floor_hour(F.col("_t")).alias("_h"))
         .agg(F.count(F.lit(1)).alias("count"))
@@ -101,17 +92,16 @@ def alert_trend_hourly(alerts: DataFrame, now: Column, max_alerts: int | None =
     )
 
 
-def _day_hour_counts(alerts: DataFrame, max_alerts: int | None) -> DataFrame:
+def _day_hour_counts(alerts: DataFrame) -> DataFrame:
     return (
-        _newest(alerts, max_alerts)
-        .withColumn("_t", _alert_time())
+        alerts.withColumn("_t", _alert_time())
         .filter(F.col("_t").isNotNull())
         .groupBy(F.weekday("_t").alias("day_no"), F.hour("_t").alias("hour"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
 
 
-def alert_heatmap(alerts: DataFrame, max_alerts: int | None = MAX_ALERTS) -> DataFrame:
+def alert_heatmap(alerts: DataFrame) -> DataFrame:
     """Counts for each of the 7 x 24 (day, hour) cells, zero where there is no alert."""
     spark = alerts.sparkSession
     grid = spark.range(168).select(
@@ -119,7 +109,7 @@ def alert_heatmap(alerts: DataFrame, max_alerts: int | None = MAX_ALERTS) -> Dat
         (F.col("id") % 24).cast("int").alias("hour"),
     )
     day = F.element_at(F.array(*map(F.lit, DAY_NAMES)), F.col("day_no") + 1)
-    counts = _day_hour_counts(alerts, max_alerts)
+    counts = _day_hour_counts(alerts)
     return (
         # at most 168 count rows
         grid.join(F.broadcast(counts), ["day_no", "hour"], "left")
@@ -129,14 +119,14 @@ def alert_heatmap(alerts: DataFrame, max_alerts: int | None = MAX_ALERTS) -> Dat
     )
 
 
-def alert_heatmap_pivot(alerts: DataFrame, max_alerts: int | None = MAX_ALERTS) -> DataFrame:
+def alert_heatmap_pivot(alerts: DataFrame) -> DataFrame:
     """The heatmap as seven rows, Monday first, with columns h00..h23."""
     cells = [
         F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("count"))), F.lit(0).cast("bigint"))
         .alias(f"h{h:02d}")
         for h in range(24)
     ]
-    return alert_heatmap(alerts, max_alerts).groupBy("day_no", "day").agg(*cells).orderBy("day_no")
+    return alert_heatmap(alerts).groupBy("day_no", "day").agg(*cells).orderBy("day_no")
 
 
 def alert_totals(alerts: DataFrame) -> DataFrame:

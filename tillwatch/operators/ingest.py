@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.functions.timegrid import zoneless
+from tillwatch.functions.timegrid import as_utc, zoneless
 
 # Column defaults of the raw transaction table.
 DEFAULT_CURRENCY = "VND"
@@ -25,7 +25,7 @@ def with_defaults(parsed: DataFrame, ingested_at: Column | None = None) -> DataF
         "device",
         F.coalesce("is_fraud", F.lit(DEFAULT_IS_FRAUD)).alias("is_fraud"),
         "fraud_reason",
-        (ingested_at if ingested_at is not None else F.localtimestamp()).alias("ingested_at"),
+        (ingested_at if ingested_at is not None else as_utc(F.current_timestamp())).alias("ingested_at"),
     )
 
 
@@ -45,7 +45,8 @@ def above_mark(incoming: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def first_per_key(incoming: DataFrame, key: str = "tx_id", arrival: str = "tx_at") -> DataFrame:
-    """One row per key: the earliest by ``arrival`` (then by the other columns).  Null keys drop.
+    """One row per key: the earliest by ``arrival`` (then by the other columns); a copy without
+    one comes last.  Null keys drop.
 
     An aggregate rather than a ranking: copies of one key collapse before the shuffle.
     """
@@ -54,7 +55,7 @@ def first_per_key(incoming: DataFrame, key: str = "tx_id", arrival: str = "tx_at
     return (
         incoming.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(F.struct(*ordered)).alias("_row"))
+        .agg(F.min(F.struct(F.col(arrival).isNull().alias("_late"), *ordered)).alias("_row"))
         .select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in columns])
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwatch.functions.exact import count_where
-from tillwatch.functions.timegrid import hours_between
+from tillwatch.functions.timegrid import hours_between, zoneless
 from tillwatch.schemas import SCHEMA_SNAPSHOTS
 
 # Watched tables, SLA hours, timestamp column per table, status cut-offs, debt points.
@@ -176,7 +176,8 @@ def check_freshness(tables: dict[str, DataFrame], now: Column,
     for name, df in tables.items():
         column = columns.get(name, DEFAULT_FRESHNESS_COLUMN)
         if column in df.columns:
-            newest = df.agg(F.max(column).cast("timestamp_ntz").alias("last_updated"))
+            newest = df.agg(F.max(column).alias("last_updated"))
+            newest = newest.select(zoneless(newest, "last_updated").alias("last_updated"))
         else:
             newest = df.sparkSession.range(1).select(
                 F.lit(None).cast("timestamp_ntz").alias("last_updated")
@@ -196,10 +197,9 @@ def stale_notices(freshness: DataFrame) -> DataFrame:
         "source_name",
         "checked_at",
         F.concat(
-            F.lit("Table "), F.col("source_name"), F.lit(" is STALE. Last updated: "),
-            F.coalesce(F.col("last_updated").cast("string"), F.lit("never")),
-            F.lit(". Hours since update: "), shown, F.lit("h (SLA: "),
-            F.col("sla_hours").cast("string"), F.lit("h)"),
+            F.col("source_name"), F.lit(": no update for "), shown,
+            F.lit(" hours, allowed are "), F.col("sla_hours").cast("string"), F.lit("; newest row: "),
+            F.coalesce(F.col("last_updated").cast("string"), F.lit("none")),
         ).alias("notice"),
     )
 
@@ -213,6 +213,7 @@ def data_debt(freshness_history: DataFrame, schema_diffs: DataFrame) -> DataFram
     fresh = latest_per(freshness_history, "source_name", "checked_at").select(
         F.when(status == "stale", STALE_POINTS).when(status == "warning", WARNING_POINTS)
         .alias("points"),
+        # fixed values: the texts of the factors, here and below
         F.when(status == "stale", f"stale table (+{STALE_POINTS})")
         .when(status == "warning", f"warning table (+{WARNING_POINTS})").alias("detail"),
     )

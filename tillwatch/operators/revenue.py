@@ -166,13 +166,13 @@ def revenue_daily(mart: DataFrame, limit: int = 30, merchant: str | None = None)
     return mart.orderBy(F.desc("date"), "merchant", "country_code").limit(limit)
 
 
-def fraud_rate_trend(mart: DataFrame, limit: int = 30) -> DataFrame:
-    """Chart feed: the newest rows in ascending date order."""
-    return (
-        revenue_daily(mart, limit)
-        .select("date", "merchant", "country_code", "fraud_rate_pct")
-        .orderBy("date", "merchant", "country_code")
-    )
+def fraud_rate_trend(mart: DataFrame) -> DataFrame:
+    """Chart feed: fraud share per day in percent, over all days."""
+    total, fraud = F.sum("tx_count"), F.sum("fraud_tx_count")
+    return mart.groupBy("date").agg(
+        total.alias("total_tx"), fraud.alias("total_fraud_tx"),
+        percent(fraud, total, 4).alias("fraud_rate_pct"),
+    ).orderBy("date")
 
 
 def overall_fraud_rate(mart: DataFrame) -> DataFrame:

@@ -243,7 +243,6 @@ def queries() -> dict[str, Query]:
         "recent_alerts": lambda s, sf: al.recent_alerts(alerts(s, sf)),
         "fraud_trend_hourly": lambda s, sf: al.alert_trend_hourly(alerts(s, sf), at(NOW)),
         "fraud_heatmap": lambda s, sf: al.alert_heatmap(alerts(s, sf)),
-        "fraud_heatmap_all": lambda s, sf: al.alert_heatmap(alerts(s, sf), max_alerts=None),
         "fraud_heatmap_pivot": lambda s, sf: al.alert_heatmap_pivot(alerts(s, sf)),
         "circuit_breaker_rate": breaker_log,
         "alert_stats": _stats,

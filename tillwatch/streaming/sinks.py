@@ -1,4 +1,5 @@
-"""foreachBatch sinks.  Outputs are keyed by batch id: a retried batch replaces what it wrote."""
+"""foreachBatch sinks.  Outputs are keyed by run and batch id: a retried batch replaces what it wrote,
+and a new checkpoint, whose batch ids start again, adds to what is there."""
 
 from __future__ import annotations
 
@@ -10,16 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.functions.exact import count_where
+from tillwatch.functions.timegrid import as_utc
 from tillwatch.operators import alerts as al
 from tillwatch.operators import ingest
 from tillwatch.schemas import ALERTS, BREAKER_LOG, RAW_TRANSACTIONS
 from tillwatch.sources.messages import split_dead_letters
-from tillwatch.sources.tables import overwrite_batch, read_batch, read_batches
+from tillwatch.sources.tables import overwrite_batch, read_batch, read_batches, run_of
 
 Publish = Callable[[DataFrame, int], None]
 
 # Fixed value: time between micro-batches.
 TRIGGER = "5 seconds"
+STORED = RAW_TRANSACTIONS + ", batch_id bigint"
 
 
 def publish_to_kafka(servers: str, topic: str) -> Publish:
@@ -48,7 +51,7 @@ class AlertSink:
     """
 
     def __init__(self, root: str, publish: Publish,
-                 now: Callable[[], Column] = F.localtimestamp,
+                 now: Callable[[], Column] = lambda: as_utc(F.current_timestamp()),
                  threshold: float = al.BREAKER_RATE, hold_seconds: int = al.BREAKER_SECONDS
                  ) -> None:
         self.alerts_path = f"{root}/alerts"
@@ -58,10 +61,11 @@ class AlertSink:
 
     def __call__(self, scored: DataFrame, batch_id: int) -> None:
         spark = scored.sparkSession
+        run = run_of(spark)
         scored = scored.persist()
         try:
             now = spark.range(1).select(self.now().alias("now")).first()["now"]
-            held = self._hold_before(spark, batch_id)
+            held = self._hold_before(spark, run, batch_id)
             total, flagged = scored.agg(
                 F.count(F.lit(1)), count_where(F.col("is_flagged"))
             ).first()
@@ -72,21 +76,22 @@ class AlertSink:
             log = spark.createDataFrame(
                 [(batch_id, total, flagged, rate, tripped, held)], BREAKER_LOG
             )
-            overwrite_batch(log.coalesce(1), self.log_path, batch_id)
-            if not flagged:
-                return
+            overwrite_batch(log.coalesce(1), self.log_path, run, batch_id)
             alerts = al.to_alerts(scored.filter("is_flagged"), F.lit(batch_id))
-            overwrite_batch(alerts, self.alerts_path, batch_id)
-            if held is None or held <= now:
+            overwrite_batch(alerts, self.alerts_path, run, batch_id)
+            if flagged and (held is None or held <= now):
                 self.publish(al.alert_payload(alerts), batch_id)
         finally:
             scored.unpersist()
 
-    def _hold_before(self, spark: SparkSession, batch_id: int):
-        """The hold in force, from the row of the batch before."""
-        before = read_batch(spark, self.log_path, BREAKER_LOG, batch_id - 1)
-        row = before.select("flag_until").first() if before is not None else None
-        return row["flag_until"] if row else None
+    def _hold_before(self, spark: SparkSession, run: str, batch_id: int):
+        """The hold in force: from the row of the batch before, or at a run's start the latest of all."""
+        before = read_batch(spark, self.log_path, BREAKER_LOG, run, batch_id - 1)
+        if before is not None:
+            return before.select("flag_until").first()["flag_until"]
+        log = read_batches(spark, self.log_path, BREAKER_LOG, run=True)
+        own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+        return log.filter(~own).agg(F.max("flag_until").alias("held")).first()["held"]
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.alerts_path, ALERTS)
@@ -98,8 +103,8 @@ class AlertSink:
 class IngestSink:
     """Message sink: new transactions to one table, dead letters to another.
 
-    Only the key column of earlier batches is read, and a retried batch is compared with the batches
-    before it, so replaying a batch or a whole file changes nothing.
+    Only the key column of stored batches is read, and a batch is compared with all but itself, so
+    replaying a batch, a file or, under a new checkpoint, the whole input changes nothing.
     """
 
     def __init__(self, root: str, use_mark: bool = False) -> None:
@@ -111,18 +116,17 @@ class IngestSink:
         good, dead = split_dead_letters(messages)
         incoming = ingest.with_defaults(good)
         spark = messages.sparkSession
-        if batch_id > 0:
-            stored = self.table(spark).filter(F.col("batch_id") < batch_id)
-            if self.use_mark:
-                incoming = ingest.above_mark(incoming, stored)
-            new = ingest.insert_if_absent(incoming, stored)
-        else:
-            new = ingest.first_per_key(incoming)
-        overwrite_batch(new, self.table_path, batch_id)
-        overwrite_batch(dead, self.dead_path, batch_id)
+        run = run_of(spark)
+        stored = read_batches(spark, self.table_path, STORED, run=True)
+        stored = stored.filter((F.col("run") != run) | (F.col("batch_id") != batch_id)).drop("run")
+        if self.use_mark:
+            incoming = ingest.above_mark(incoming, stored)
+        new = ingest.insert_if_absent(incoming, stored)
+        overwrite_batch(new, self.table_path, run, batch_id)
+        overwrite_batch(dead, self.dead_path, run, batch_id)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.table_path, RAW_TRANSACTIONS + ", batch_id bigint")
+        return read_batches(spark, self.table_path, STORED)
 
     def dead_letters(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.dead_path,
