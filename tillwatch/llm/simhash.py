@@ -155,7 +155,7 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     heads = F.broadcast(spark.createDataFrame(target, "top long, to int"))
     copies = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("top"))).select("doc_id", "text", F.col("to").alias("range"), F.lit(1).alias("copy"))
     both = ranged.withColumn("copy", F.lit(0)).unionByName(copies)
-    dealt = both.repartition(len(order), "range").sortWithinPartitions("range", "copy", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
+    dealt = both.repartition(max(1, len(order)), "range").sortWithinPartitions("range", "copy", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
     return dealt.mapInArrow(
         _edited,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint long, edited_fingerprint long, near_edited double, near_next double",
