@@ -26,6 +26,8 @@ RADIUS = 3
 BLOCKS = 5
 #: rows of one range of ids
 RANGE_ROWS = 50_000
+#: ranges that smaller tables are cut into, so that many tasks share them
+LEAST_RANGES = 64
 
 
 def fingerprints(texts: pa.Array) -> np.ndarray:
@@ -142,7 +144,8 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     in order, streamed.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    count = max(1, rows.count() // range_rows)
+    n = rows.count()
+    count = max(1, n // range_rows, min(LEAST_RANGES, n // 500))
     cuts = rows.approxQuantile("doc_id", [k / count for k in range(1, count)], 1 / (8 * count)) if count > 1 else []
     cuts = sorted({int(c) for c in cuts})
     spark = docs.sparkSession
