@@ -96,7 +96,9 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < size).select("lang", "gram", "rank")
+    # a filter on the row number itself lets each task cut its own list before the shuffle
+    best = counts.withColumn("row", F.row_number().over(order)).filter(F.col("row") <= size)
+    return best.select("lang", "gram", (F.col("row") - 1).alias("rank"))
 
 
 def _has_letter(text: str) -> bool:
