@@ -25,7 +25,7 @@ from tillwatch.llm.words import slices
 
 PROFILE = 400
 #: n-grams gathered in a task before they are summed (16 bytes each)
-GATHER = 2_000_000
+GATHER = 500_000
 _B = np.arange(256)
 _CODE = np.where((_B >= 97) & (_B <= 122), _B - 96, np.where((_B >= 65) & (_B <= 90), _B - 64, np.where(_B >= 128, 32 + (_B - 128) % 96, 0))).astype(np.int32)
 

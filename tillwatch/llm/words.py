@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 _U = np.uint64
 _ALL = np.arange(256)
 _LOWER = np.where((_ALL >= 65) & (_ALL <= 90), _ALL + 32, _ALL).astype(np.uint8)
