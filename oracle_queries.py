@@ -330,8 +330,7 @@ ORACLES = {
         select a.user_id, a.tx_at, a.country_code, a.tx_id, b.tx_at as pair_tx_at,
         b.country_code as pair_country_code, b.tx_id as pair_tx_id
         from moments a join moments b on a.user_id = b.user_id and a.country_code <> b.country_code
-        and (b.tx_at > a.tx_at or (b.tx_at = a.tx_at and b.country_code > a.country_code))
-        and b.tx_at <= a.tx_at + interval '30 minutes'
+        and b.tx_at between a.tx_at and a.tx_at + interval '30 minutes'
         qualify row_number() over (partition by a.user_id, a.tx_at, a.country_code
           order by b.tx_at, b.country_code) = 1""",
     "geo_anomaly": f"""with {STG}, {_GEO} select tx_id, user_id, country_code, tx_at,

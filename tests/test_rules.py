@@ -155,6 +155,45 @@ def test_mixed_sizes_take_both_paths(spark, staged):
         map(str, rules.score_transactions(staged).collect()))
 
 
+def test_median_of_a_large_user_is_exact_on_both_paths(spark):
+    n = F.col("id")
+    df = spark.range(60_000).select(
+        n.cast("string").alias("tx_id"), F.lit("u").alias("user_id"), F.lit("Grab").alias("merchant"),
+        F.when(n % 50 != 7, F.pmod(F.xxhash64("id"), F.lit(9_000_000)) / 100).cast("decimal(15,2)")
+        .alias("amount"),
+        F.lit("VN").alias("country_code"),
+        (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=n * 3)).alias("tx_at"))
+    paths = [by_tx(rules.amount_spike(df, hot_user_rows=k), "user_median_amount", "amount_spike_flag")
+             for k in (100_000, 0)]
+    assert paths[0] == paths[1]
+    windows = [sorted(map(tuple, rules.amount_windows(df, hot_user_rows=k).collect()))
+               for k in (100_000, 0)]
+    assert windows[0] == windows[1]
+    rows = [(r["tx_at"], float(r["amount"])) for r in df.collect() if r["amount"] is not None]
+    for _, start, end, median in windows[0][::10]:
+        held = sorted(a for t, a in rows if start <= t < end)
+        assert median == held[(len(held) - 1) // 2]
+
+
+def test_windows_without_amounts_and_negative_amounts_on_both_paths(spark):
+    df = table(spark, [("a", "u", 0, None, "VN"), ("b", "u", 90_000, -5, "VN"),
+                       ("c", "u", 90_001, -71234, "VN"), ("d", "u", 90_002, 3, "VN"),
+                       ("e", None, 0, None, "VN"), ("f", "v", 0, 0.5, "VN")])
+    small, hot = (sorted(map(str, rules.amount_windows(df, hot_user_rows=k).collect()))
+                  for k in (100, 0))
+    assert small == hot and len(small) > 90
+
+
+def test_pairs_name_every_flagged_moment(spark):
+    df = table(spark, [("a", "u", 0, 1, "VN"), ("b", "u", 0, 1, "US"), ("c", "u", 60, 1, "US"),
+                       ("d", "v", 0, 1, "JP"), ("e", "v", 1800, 1, "VN"), ("f", "v", 1800, 1, "SG"),
+                       ("g", "v", 1800, 1, "US"), ("h", "w", 0, 1, "VN"), ("i", "w", 9, 1, "VN")])
+    pairs = {(r["tx_id"], r["pair_tx_id"]) for r in rules.geo_pairs(df).collect()}
+    assert pairs == {("a", "b"), ("b", "a"), ("d", "f"), ("e", "f"), ("f", "g"), ("g", "f")}
+    flagged = {t for t, (f,) in by_tx(rules.geo_anomaly(df), "geo_anomaly_flag").items() if f}
+    assert flagged == {a for a, _ in pairs}
+
+
 def test_usual_plan_has_one_exchange_and_no_hot_branch(spark, staged):
     df = rules.score_transactions(staged)
     df.collect()

@@ -33,7 +33,7 @@ HOT_USER_ROWS = 500_000
 VELOCITY_WARNING = 5
 VELOCITY_CRITICAL = 10
 SPIKE_RATIO = 3.0
-MEDIAN_ACCURACY = 10_000
+LEAST_ACCURACY = 10_000
 
 RowRule = Callable[[DataFrame], DataFrame]
 
@@ -100,13 +100,64 @@ def velocity_windows(df: DataFrame, window: str = "60 seconds", slide: str = "10
     )
 
 
+def _median_accuracy(hot_user_rows: int) -> int:
+    """Accuracy at which ``percentile_approx`` keeps every value of a group of ``hot_user_rows``."""
+    return min(max(LEAST_ACCURACY, 4 * hot_user_rows), 2**31 - 1)
+
+
+def _amount_range(amount: Column) -> Column:
+    """A range that holds the amount: number of digits, then the three leading ones.  Larger amounts
+    never have a smaller range, and there are at most some thousand of them."""
+    size = F.abs(amount)
+    digits = F.length(F.floor(size).cast("string"))
+    range_no = digits * 1000 + F.floor(size / F.pow(F.lit(10.0), digits - 3))
+    return F.when(amount < 0, -range_no).otherwise(range_no)
+
+
+def _counted_medians(rows: DataFrame, length: int, step: int) -> DataFrame:
+    """Exact lower median ``_m`` per (user_id, ``_start``) of rows (user_id, amount, ``_slot``).
+
+    For users of any size: equal amounts of a slot become one count before they move.  Counts per
+    amount range, few for each slot, are repeated per window and tell in which range the median lies
+    and at which rank there; only amounts of that range are then looked at.
+    """
+    counts = rows.groupBy("user_id", "_slot", "amount").agg(F.count("amount").alias("_n"))
+    counts = counts.withColumn("_range", _amount_range(F.col("amount")))
+    keys = ["user_id", "_start"]
+    ranges = (
+        counts.groupBy("user_id", "_slot", "_range").agg(F.sum("_n").alias("_n"))
+        .select("user_id", "_range", "_n", _spread(F.col("_slot"), length, step).alias("_start"))
+        .groupBy(*keys, "_range").agg(F.sum("_n").alias("_n"))
+    )
+    whole = Window.partitionBy(*keys)
+    half = F.floor((F.sum("_n").over(whole) + 1) / 2)
+    chosen = (
+        ranges.withColumns({"_half": half, "_upto": F.sum("_n").over(whole.orderBy("_range"))})
+        .filter((F.col("_upto") >= F.col("_half")) & (F.col("_upto") - F.col("_n") < F.col("_half")))
+        .select(*keys, "_range", (F.col("_half") - F.col("_upto") + F.col("_n")).alias("_rank"))
+    )
+    per_slot = chosen.withColumn("_slot", F.explode(F.sequence(
+        F.col("_start"), F.col("_start") + (length - step), F.lit(step))))
+    same_user = F.col("c.user_id").eqNullSafe(F.col("p.user_id"))
+    inside = counts.alias("c").join(
+        per_slot.alias("p"),
+        same_user & (F.col("c._slot") == F.col("p._slot")) & (F.col("c._range") == F.col("p._range")))
+    return (
+        inside.groupBy("p.user_id", "_start", "amount")
+        .agg(F.sum("_n").alias("_n"), F.first("_rank").alias("_rank"))
+        .withColumn("_upto", F.sum("_n").over(whole.orderBy("amount")))
+        .filter(F.col("_upto") >= F.col("_rank"))
+        .groupBy(*keys).agg(F.min("amount").alias("_m"))
+    )
+
+
 def amount_windows(df: DataFrame, window: str = "24 hours", slide: str = "1 hour",
                    hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
-    """Median amount per (user, sliding window); exact for windows of up to several thousand rows.
+    """Exact median amount per (user, sliding window), null where a window has no amount.
 
     Usual users: rows move once to their user's partition and are repeated per window only there.
-    Hot users (and rows without a user, which share a group here): ``percentile_approx`` aggregates
-    before the exchange, so however many rows a window holds, each task sends one bounded summary.
+    Hot users (and rows without a user, which share a group here) are counted instead, see
+    ``_counted_medians``.
     """
     length, step = window_grid(window, slide)
     amounts = df.select("user_id", F.col("amount").cast("double").alias("amount"),
@@ -120,15 +171,17 @@ def amount_windows(df: DataFrame, window: str = "24 hours", slide: str = "1 hour
     usual = amounts.join(listed, is_listed, "left_anti")
     heavy = amounts.join(listed, is_listed, "left_semi")
 
-    def medians(rows: DataFrame) -> DataFrame:
-        return (
-            rows.select("user_id", "amount", _spread(F.col("_slot"), length, step).alias("_start"))
-            .groupBy("user_id", "_start")
-            .agg(F.percentile_approx("amount", 0.5, MEDIAN_ACCURACY).alias("user_median_amount"))
-        )
+    def windows(rows: DataFrame) -> DataFrame:
+        return rows.select("user_id", "amount", _spread(F.col("_slot"), length, step).alias("_start"))
 
-    return medians(usual.repartition("user_id")).unionByName(medians(heavy)).select(
-        "user_id", *_window_bounds(length), "user_median_amount")
+    median = F.percentile_approx("amount", 0.5, _median_accuracy(hot_user_rows))
+    usual = windows(usual.repartition("user_id")).groupBy("user_id", "_start").agg(median.alias("_m"))
+    # windows without any amount have no median but are windows
+    bare = windows(heavy.groupBy("user_id", "_slot").agg(F.max("amount").alias("amount")))
+    bare = bare.groupBy("user_id", "_start").agg(F.max("amount").alias("_m")).filter("_m is null")
+    counted = _counted_medians(heavy, length, step)
+    return usual.unionByName(counted).unionByName(bare).select(
+        "user_id", *_window_bounds(length), F.col("_m").alias("user_median_amount"))
 
 
 # ---------------------------------------------------------------- velocity
@@ -198,7 +251,7 @@ def _usable(median: Column) -> Column:
     return F.when(median > 0, median).when(median.isNotNull(), F.lit(float("inf")))
 
 
-def _median_small(df: DataFrame, window: str, slide: str) -> DataFrame:
+def _median_small(df: DataFrame, window: str, slide: str, accuracy: int) -> DataFrame:
     """Lowest median among the windows that hold a row, without repeating rows per window.
 
     Sliding along the grid, a window's content changes only where a slot enters at its end or one
@@ -207,7 +260,7 @@ def _median_small(df: DataFrame, window: str, slide: str) -> DataFrame:
     """
     length, step = window_grid(window, slide)
     spec = _per_user(F.col("_slot_m"))
-    median = F.percentile_approx("_amount", 0.5, MEDIAN_ACCURACY)
+    median = F.percentile_approx("_amount", 0.5, accuracy)
     lowest_ending = F.min(_usable(F.col("_ending"))).over(spec.rangeBetween(0, length - step))
     lowest_after = F.min(_usable(F.col("_after"))).over(spec.rangeBetween(-length, -step))
     return (
@@ -223,11 +276,9 @@ def _median_small(df: DataFrame, window: str, slide: str) -> DataFrame:
 def _median_hot(df: DataFrame, window: str, slide: str) -> DataFrame:
     length, step = window_grid(window, slide)
     df = df.withColumn("_slot_m", slot(F.col("tx_at"), step))
-    per_window = df.select(
-        "user_id", F.col("amount").cast("double").alias("amount"),
-        _spread(F.col("_slot_m"), length, step).alias("_start"),
-    ).groupBy("user_id", "_start").agg(
-        F.percentile_approx("amount", 0.5, MEDIAN_ACCURACY).alias("_m"))
+    per_window = _counted_medians(
+        df.select("user_id", F.col("amount").cast("double").alias("amount"),
+                  F.col("_slot_m").alias("_slot")), length, step)
     per_slot = (
         per_window.select("user_id", "_m", F.explode(F.sequence(
             F.col("_start"), F.col("_start") + (length - step), F.lit(step))).alias("_slot_m"))
@@ -260,7 +311,7 @@ def amount_spike(df: DataFrame, window: str = "24 hours", slide: str = "1 hour",
     """
     return _spike(_by_user_size(
         df,
-        lambda d: _median_small(d, window, slide),
+        lambda d: _median_small(d, window, slide, _median_accuracy(hot_user_rows)),
         lambda d: _median_hot(d, window, slide),
         hot_user_rows,
     ), round_before_compare)
@@ -359,15 +410,24 @@ def geo_anomaly(df: DataFrame, within: str = "30 minutes", hot_user_rows: int =
 
 
 def geo_pairs(df: DataFrame, within: str = "30 minutes") -> DataFrame:
-    """For each (user, time, country) its next moment, in (time, country) order, in another country
-    within ``within``; each side names its smallest tx_id.
+    """For each (user, time, country) the first moment, in (time, country) order, in another country
+    at the same time or up to ``within`` later; each side names its smallest tx_id.  So every flagged
+    moment has a partner, both sides of a same-time pair included.
 
     One partner per moment: the full pair list grows with the square of a user's activity.
     """
     span = micros(within)
     moments = _moments(df, within, F.min("tx_id").alias("tx_id"))
+    keys = ["user_id", "_bucket"]
+    same_time = Window.partitionBy(*keys).orderBy(F.desc("_us")).rangeBetween(
+        Window.currentRow, Window.currentRow
+    )
+    least = F.min(F.struct("_us", "country_code", "tx_id")).over(same_time)
+    at_once = F.col("_least.country_code") != F.col("country_code")
     return (
-        _next_elsewhere(moments, "country_code", ["user_id", "_bucket"], ["tx_id"])
+        _next_elsewhere(moments, "country_code", keys, ["tx_id"])
+        .withColumn("_least", least)
+        .withColumn("_next", F.when(at_once, F.col("_least")).otherwise(F.col("_next")))
         .filter(F.col("_bucket") == slot(F.col("tx_at"), span))
         .filter(F.col("_next._us") <= F.col("_us") + span)
         .select(
@@ -410,7 +470,7 @@ def score_transactions(df: DataFrame, velocity_window: str = "60 seconds",
 
     def small(d: DataFrame) -> DataFrame:
         d = _velocity_small(d, velocity_window, velocity_slide)
-        d = _median_small(d, amount_window, amount_slide)
+        d = _median_small(d, amount_window, amount_slide, _median_accuracy(hot_user_rows))
         return _geo_small(d, geo_within)
 
     def hot(d: DataFrame) -> DataFrame:
