@@ -119,6 +119,9 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
+    # a Python worker lives on: what Arrow keeps of large batches goes back
+    if len(data) > 4 * limit:
+        pa.default_memory_pool().release_unused()
 
 
 def word_slices(column: pa.Array, kind: str) -> Iterator[tuple[int, int, Words]]:
