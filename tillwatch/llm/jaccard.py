@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.components import components
-from tillwatch.llm.shared import small, stored
+from tillwatch.llm.shared import narrow_batches, small, stored
 from tillwatch.llm.words import Words, long_list, mix, runs_hash, spans_hash, word_slices
 
 SHINGLE = 5
@@ -229,6 +229,7 @@ class _Join:
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     spark = docs.sparkSession
+    narrow_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sizes = stored(rows.mapInArrow(lambda b: _sizes(b, shingle), "doc_id long, n_shingles long, digest long, other long"), "sizes")
     filled = sizes.filter("doc_id is not null and n_shingles > 0")

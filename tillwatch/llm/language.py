@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.shared import texts_of, with_rest
+from tillwatch.llm.shared import narrow_batches, texts_of, with_rest
 from tillwatch.llm.words import slices
 
 PROFILE = 400
@@ -93,6 +93,7 @@ def _rows(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
 
 def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> DataFrame:
     """lang, gram, rank (from 0) over all rows that have a language."""
+    narrow_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 
 #: Most rows of narrow integers (ids, hashes) that are broadcast; about 30 MB in an executor.
 BROADCAST_ROWS = 500_000
+#: Bytes of an Arrow batch for a Python worker (one longer text makes a longer batch).  The JVM holds a batch
+#: about three times outside its heap, the worker once or twice, and that for every running task.
+BATCH = "2m"
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,8 +37,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrow_batches(spark: SparkSession) -> None:
+    """From now on texts go to Python workers in batches of BATCH, unless the session names another size."""
+    if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH)
+
+
 def texts_of(docs: DataFrame, doc_id: str, text: str, carry: list[str] | None = None) -> DataFrame:
     """doc_id, text and, in one struct that no name of theirs can clash with, the columns to carry along."""
+    narrow_batches(docs.sparkSession)
     rest = [F.struct(*(F.col(c) for c in carry)).alias("rest")] if carry else []
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
 
