@@ -226,6 +226,12 @@ from (select * from steps
   left join (select source_name, checked_at, string_agg(change, ',' order by column_name) as t
     from retyped group by all) using (source_name, checked_at)))"""
 
+_STORED_DIFFS = DIFFS.replace(
+    DIFFS[DIFFS.index("steps as ("):DIFFS.index("added as (")],
+    """steps as (select source_name, max(snapshot_at) as checked_at,
+  max(snapshot_at) filter (where snapshot_at < timestamp '2024-01-25 00:00:00') as before
+  from taken group by source_name),
+""")
 _DIFF_COLUMNS = "source_name, checked_at, has_changes, is_breaking, added, removed, type_changed"
 
 
@@ -367,6 +373,10 @@ ORACLES = {
           as circuit_breaker_active,
         (select string_agg(concat_ws(':', user_id, total_score), ','
           order by total_score desc, user_id desc) from top) as top_flagged_users""",
+    "alerts_read_back": f"""with {ALERTS} select tx_id, user_id, cast(null as varchar) as merchant,
+        amount, cast(null as varchar) as country, cast(null as varchar) as tx_at, fraud_score,
+        triggered_rules, cast(0 as int) as velocity_score, false as amount_spike,
+        false as geo_anomaly from alerts where not geo_anomaly and fraud_score > 1""",
     "dq_not_null": f"with {_BOTH_MARTS} {_not_null()}",
     "dq_unique": f"with {_BOTH_MARTS} {_unique()}",
     "dq_accepted_values": f"""with {STG}
@@ -383,6 +393,8 @@ ORACLES = {
         cast(null as varchar) as column_default from snap
         qualify snapshot_at = max(snapshot_at) over (partition by source_name)""",
     "schema_diff": f"with {DIFFS} select {_DIFF_COLUMNS} from diffs",
+    "stored_schema_drift": f"""with {_STORED_DIFFS} select * replace (timestamp '2024-01-31 00:00:00'
+        as checked_at) from (select {_DIFF_COLUMNS} from diffs)""",
     "latest_schema_drift": f"with {DIFFS} select {_DIFF_COLUMNS} from diffs {_LATEST}",
     "freshness_status": f"""with {STG}, newest as (
         select 'raw_transactions' as source_name, max(ingested_at) as last_updated, 1.0::double as sla_hours

@@ -6,7 +6,7 @@ Arrival order is (batch_id, tx_at, tx_id), newest first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -193,3 +193,40 @@ def alert_stats(alerts: DataFrame, breaker_log: DataFrame, now: Column, top: int
         breaker_active(breaker_log, now).scalar().alias("circuit_breaker_active"),
         best.scalar().alias("top_flagged_users"),
     )
+
+
+def stats_of_scored(scored: DataFrame, closed_at: Column, now: Column, top: int = 10) -> DataFrame:
+    """``alert_stats`` from scored rows with a ``batch_id``, which are read once.
+
+    Rows become counts per (batch, user); those are summed per batch and per user together, and each
+    task cuts its own users to the ``top`` before they meet.
+    """
+    flagged = F.col("is_flagged")
+    counts = scored.groupBy("batch_id", "user_id").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        count_where(flagged).alias("_flagged"),
+        F.sum(F.when(flagged, F.coalesce("fraud_score", F.lit(1)))).alias("_score"),
+        closed_at.alias("_closed"),
+    )
+    of_user = F.grouping("user_id") == 0
+    sums = counts.groupingSets([["batch_id"], ["user_id"]], "batch_id", "user_id").agg(
+        of_user.alias("_of_user"),
+        F.sum("_rows").alias("_rows"),
+        F.sum("_flagged").alias("_flagged"),
+        F.sum("_score").alias("_score"),
+        F.max("_closed").alias("_closed"),
+    ).filter(~F.col("_of_user") | (F.col("_flagged") > 0))
+    # every batch is a partition of its own here and stays
+    order = Window.partitionBy("_of_user", "batch_id").orderBy(F.desc("_score"), F.desc("user_id"))
+    kept = sums.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= top)
+    held = F.timestamp_add("SECOND", F.lit(BREAKER_SECONDS), F.col("_closed")) > now
+    tripped = F.col("_flagged") / F.col("_rows") > BREAKER_RATE
+    best = F.when(F.col("_of_user"),
+                  F.struct(F.col("_score").alias("total_score"), F.col("user_id").alias("user_id")))
+    return kept.agg(
+        F.coalesce(F.sum(F.when(~F.col("_of_user"), F.col("_flagged"))), F.lit(0))
+        .alias("total_fraud_alerts"),
+        F.coalesce(F.max(F.when(~F.col("_of_user") & tripped, held)), F.lit(False))
+        .alias("circuit_breaker_active"),
+        F.sort_array(F.collect_list(best), asc=False).alias("top_flagged_users"),
+    )

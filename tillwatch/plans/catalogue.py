@@ -80,9 +80,13 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
     return al.to_alerts(rules.flagged_transactions(scored(spark, sf)), F.unix_date("tx_date"))
 
 
+def _in_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored rows, one batch per day."""
+    return scored(spark, sf).withColumn("batch_id", F.unix_date("tx_date").cast("bigint"))
+
+
 def breaker_log(spark: SparkSession, sf: str) -> DataFrame:
-    batches = scored(spark, sf).withColumn("batch_id", F.unix_date("tx_date").cast("bigint"))
-    return al.circuit_breaker(batches, closed_at=F.max("tx_at"))
+    return al.circuit_breaker(_in_batches(spark, sf), closed_at=F.max("tx_at"))
 
 
 def freshness_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,9 +182,27 @@ def _stats(spark: SparkSession, sf: str) -> DataFrame:
     now = at("2024-01-15 00:00:00")
     user = F.transform("top_flagged_users",
                        lambda u: F.concat_ws(":", u["user_id"], u["total_score"].cast("string")))
-    return al.alert_stats(alerts(spark, sf), breaker_log(spark, sf), now).withColumn(
-        "top_flagged_users", F.array_join(user, ",")
-    )
+    stats = al.stats_of_scored(_in_batches(spark, sf), F.max("tx_at"), now)
+    return stats.withColumn("top_flagged_users", F.array_join(user, ","))
+
+
+def _read_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored alert messages read back; every geo anomaly was cut off after 20 characters, and
+    messages of a single rule carry no user."""
+    sent = alerts(spark, sf)
+    body = F.to_json(F.struct(
+        "tx_id", F.when(F.col("fraud_score") > 1, F.col("user_id")).alias("user_id"),
+        "amount", "fraud_score", "triggered_rules",
+    ))
+    cut = F.when(F.col("geo_anomaly"), F.substring(body, 1, 20)).otherwise(body)
+    return al.read_alert_payload(sent.select(cut.alias("value")))
+
+
+def _stored_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest snapshot of each source against the newest one stored before 25 January."""
+    history = schema_history(spark, sf)
+    stored = history.filter(F.col("snapshot_at") < at("2024-01-25"))
+    return diff_text(observe.diff_snapshots(observe.latest_snapshot(history), stored, at(NOW)))
 
 
 def _debt(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,6 +268,7 @@ def queries() -> dict[str, Query]:
         "fraud_heatmap_pivot": lambda s, sf: al.alert_heatmap_pivot(alerts(s, sf)),
         "circuit_breaker_rate": breaker_log,
         "alert_stats": _stats,
+        "alerts_read_back": _read_alerts,
         # quality
         "dq_not_null": lambda s, sf: quality.check_not_null(_relations(s, sf)),
         "dq_unique": lambda s, sf: quality.check_unique(_relations(s, sf)),
@@ -261,6 +284,7 @@ def queries() -> dict[str, Query]:
             lambda s, sf: diff_text(observe.diff_history(schema_history(s, sf))),
         "latest_schema_drift": lambda s, sf: diff_text(observe.latest_schema_drift(
             observe.diff_history(schema_history(s, sf)))),
+        "stored_schema_drift": _stored_drift,
         "freshness_status": _watched_freshness,
         "freshness_history": freshness_history,
         "latest_freshness": lambda s, sf: observe.latest_freshness(freshness_history(s, sf)),
