@@ -176,3 +176,20 @@ def test_drift_gate_and_history(spark):
     assert (debt["data_debt_score"], debt["grade"]) == (45, "C")
     drift = observability.latest(spark, "obs_")["schema_drift"].first()
     assert drift["diff_json"] == '{"added":[],"removed":["b"],"type_changed":[]}'
+
+
+def test_stats_of_scored_equal_the_stats_of_alerts_and_breaker_log(spark):
+    rows = [(b, f"t{b}-{i}", u, f, score, datetime(2024, 1, 1, b, i))
+            for b, flags in ((1, "10000"), (2, "11010"), (3, "0000"))
+            for i, (u, f, score) in enumerate(
+                (("u%d" % (i % 3) if i < 4 else None), x == "1", 1 + i % 2) for i, x in enumerate(flags))]
+    schema = ("batch_id bigint, tx_id string, user_id string, is_flagged boolean, fraud_score int, "
+              "tx_at timestamp_ntz")
+    scored = spark.createDataFrame(rows, schema)
+    for part in (scored, scored.filter("false"), scored.withColumn("user_id", F.lit(None).cast("string"))):
+        log = al.circuit_breaker(part, F.max("tx_at"))
+        for minute in (0, 7, 30):
+            now = F.lit(datetime(2024, 1, 1, 2, minute)).cast("timestamp_ntz")
+            for top in (1, 10):
+                want = al.alert_stats(part.filter("is_flagged"), log, now, top).collect()
+                assert al.stats_of_scored(part, F.max("tx_at"), now, top).collect() == want
