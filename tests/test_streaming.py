@@ -267,3 +267,20 @@ def test_crowded_histograms_are_bounded():
     assert [len(x) for x in fold(slot[:0], amount[:0], count[:0])] == [0, 0, 0]
     assert four_digits(np.array([0.0, 123456.0, 0.0012344])).tolist() == pytest.approx(
         [0.0, 123500.0, 0.001234])
+
+
+def test_window_medians_are_exact_in_large_groups(spark):
+    n = 60_000
+    rows = spark.range(n, numPartitions=4).select(
+        F.lit("u").alias("user_id"), F.concat(F.lit("t"), "id").alias("tx_id"),
+        F.lit("VN").alias("country_code"), (F.pmod(F.col("id") * 7919, F.lit(n)) / 100 + 1000).alias("amount"),
+        F.timestamp_seconds(F.lit(1_714_564_800) + F.col("id") % 3000).alias("tx_at"))
+    rows = rows.unionByName(rows.limit(2).select(
+        F.lit("z").alias("user_id"), F.concat(F.lit("z"), "tx_id").alias("tx_id"), "country_code",
+        (F.when(F.col("tx_id") == "t0", 0.0).otherwise(4.0)).alias("amount"), "tx_at"))
+    got = windows.amount_per_window(rows, "2 hours", "1 hour").filter("user_id = 'u'")
+    assert {r[0] for r in got.select("user_median_amount").distinct().collect()} == {1000 + (n // 2 - 1) / 100}
+    batch = rules.amount_spike(rows.withColumn("tx_at", F.col("tx_at").cast("timestamp_ntz")), "2 hours", "1 hour")
+    both = windows.per_transaction(windows.amount_per_window(rows, "2 hours", "1 hour")).alias("w").join(
+        batch.alias("b"), "tx_id").filter("not (w.user_median_amount <=> b.user_median_amount)")
+    assert both.count() == 0

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.timegrid import micros
-from tillwatch.operators.rules import MEDIAN_ACCURACY
 
 # Fixed value: how late a transaction may be.
 WATERMARK = "10 seconds"
@@ -51,15 +50,19 @@ def velocity_per_window(stream: DataFrame, window: str = "60 seconds", slide: st
 
 def amount_per_window(stream: DataFrame, window: str = "24 hours", slide: str = "1 hour"
                       ) -> DataFrame:
-    median = F.percentile_approx("amount", 0.5, MEDIAN_ACCURACY)
+    # exact at any size: equal amounts are one entry with a count, as in the batch rules
+    median = F.expr("percentile_disc(0.5) within group (order by cast(amount as double))")
     return _with_window_value(stream, window, slide, median, "user_median_amount")
 
 
 def per_transaction(emitted: DataFrame) -> DataFrame:
-    """Collapse the stored per-window rows to one per tx_id (batch)."""
+    """Collapse the stored per-window rows to one per tx_id (batch): highest count, lowest positive
+    median, 0 if there is none."""
+    median = F.col("user_median_amount")
+    lowest = F.coalesce(F.min(F.when(median > 0, median)), F.when(F.count(median) > 0, F.lit(0.0)))
     found = [
         F.max("tx_count_60s").alias("tx_count_60s") if c == "tx_count_60s"
-        else F.min("user_median_amount").alias("user_median_amount")
+        else lowest.alias("user_median_amount")
         for c in emitted.columns if c in ("tx_count_60s", "user_median_amount")
     ]
     return emitted.groupBy("tx_id").agg(*found)
