@@ -97,6 +97,20 @@ def test_html(spark):
     assert html.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_html_marks_never_hide_the_main_text(spark):
+    page = "<html{}><body{}><div{}><nav>N</nav><article{}><h1>Title</h1><p>Text {}</p><div class='{}'>Block</div><p><math><mi>x</mi></math></p></article></div><div class='sidebar'>S</div></body></html>"
+    cases = [
+        ("", " class='with-sidebar'", "", "", "plain"), (" class='has-cookie-banner'", "", "", "", "plain"), ("", " class='sidebar'", "", " class='post comments-open'", "plain"),
+        ("", "", "", " class='post comments'", "related-work"), ("", "", " class='widget'", "", "search-results"),
+    ]
+    rows = [(10 * k + n, f"http://h{k}.example/{n}", page.format(*c[:4], n, c[4])) for k, c in enumerate(cases) for n in range(3)]
+    rows += [(100, "http://i.example", "<body class='sidebar'><div class='widget'><div id='text'>All of the text</div></div><div class='promo'>ad</div></body>")]
+    rows += [(101, "http://j.example", "<body><div class='promo'><article>One</article></div><div class='widget'><article>Two</article></div><div class='menu'><article>Six</article></div></body>")]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[d] == f"Title\nText {d % 10}\nBlock\nx" for d in got if d < 100)
+    assert got[100] == "All of the text" and got[101] == "One\nTwo\nSix"
+
+
 def test_html_articles_of_the_table(spark, sf):
     import html as entities
 
