@@ -111,6 +111,21 @@ def test_html_marks_never_hide_the_main_text(spark):
     assert got[100] == "All of the text" and got[101] == "One\nTwo\nSix"
 
 
+def test_html_mixed_templates_and_unmarked_boilerplate(spark):
+    box = "<html><body><div class='bar'>Our bar of links</div>{}<div class='end'>The end of it</div></body></html>"
+    post = box.format("<article><h1>Title {0}</h1><p>Text number {0} of the host</p><p>Follow us</p><p>Follow us</p></article>")
+    product = box.format("<div class='wrap'><div class='product'><p>Product {0} with its long description</p><p>Ships in a day</p></div></div>")
+    rows = [(n, f"http://a.example/{n}", post.format(n)) for n in range(40)]
+    rows += [(100 + n, f"http://a.example/p{n}", product.format(n)) for n in range(12)]
+    rows += [(200, "http://a.example/404", box.format("Nothing is found at this place")), (201, "http://a.example/one", box.format("<article id='one'>A page of its own</article>"))]
+    rows += [(300 + n, f"http://copies.example/{n}", post.format(7)) for n in range(20)]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[n] == f"Title {n}\nText number {n} of the host" for n in range(40))
+    assert all(got[100 + n] == f"Product {n} with its long description" for n in range(12))
+    assert "Nothing is found at this place" in got[200] and got[201] == "A page of its own"
+    assert all(got[300 + n] == "Title 7\nText number 7 of the host\nFollow us\nFollow us" for n in range(20))
+
+
 def test_html_articles_of_the_table(spark, sf):
     import html as entities
 
