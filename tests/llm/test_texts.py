@@ -163,6 +163,31 @@ def test_lm_scores(make, spark):
     assert lm_score.score_documents(make([]), ids).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 200, 500_000])
+def test_lm_scores_know_every_word(make, spark, hot):
+    rnd = random.Random(9)
+    texts = {i: " ".join(rnd.choice(["the", "of", f"w{rnd.randrange(20_000)}"]) for _ in range(rnd.randrange(120))) for i in range(150)} | {900: None, 901: "Only12 once é"}
+    rows = [*texts.items(), (3, texts[3]), (3, "another text"), (None, "the of")]
+    ids = spark.createDataFrame([(i,) for i in texts if i % 2], "doc_id long")
+    words = [(d, brute.LETTERS.findall(brute.lower(t))) for d, t in rows]
+    size = len({w for _, ws in words for w in ws}) + 1
+    assert size > 2048
+
+    def model(chosen):
+        pairs = Counter(p for ws in chosen for p in zip(["?", *ws], ws))
+        single, first = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            single[b] += n
+            first[a] += n
+        total = sum(single.values())
+        return lambda a, b: (pairs[a, b] + 50 * (single[b] + 50 / size) / (total + 50)) / (first[a] + 50)
+
+    p, q = model([ws for d, ws in words if d is not None and d % 2]), model([ws for _, ws in words])
+    want = sorted((-1 if d is None else d, len(ws), sum(math.log(q(a, b)) - math.log(p(a, b)) for a, b in zip(["?", *ws], ws)) / len(ws) if ws else 0) for d, ws in words)
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["score"] or 0) for r in lm_score.score_documents(make(rows), ids, hot=hot).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want] and [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-5)
+
+
 def test_sharding(make):
     table = sharding.lookup_table(["a", "b", "c"], 101)
     assert sorted(Counter(table).values()) == [33, 34, 34]

@@ -1,14 +1,18 @@
 """LM scoring by cross-entropy difference.
 
-Two bigram models of words, one of the target rows and one of all rows, share one vocabulary: the
-`vocabulary` most frequent words of the corpus, everything else being one unknown word.  Both use the
+Two bigram models of words, one of the target rows and one of all rows, over every word of the corpus (or,
+if `vocabulary` is given, its most frequent words, everything else being one unknown word).  Both use the
 same smoothing: a bigram's probability falls back on the word's, and the word's on the uniform one.  A
 document's score is the mean over its tokens of target loss minus background loss: the lower, the more
-it is like the target.  Counts run over all rows; the vocabulary's size, a parameter, bounds the
-model that is broadcast (vocabulary**2 differences of 4 bytes).
+it is like the target.
+
+Every bigram is counted, in tables of 64-bit hashes that Spark holds; the model grows with the corpus and
+is never gathered.  Bigrams with more than one of `hot` parts of all tokens, fewer than `hot`, are broadcast
+and summed where the text is; the others go, summed per document, to the model by a join, so no key of that
+join is common.
 
 Defined results: a text without words has no token and a null score; without any target row the target
-model is uniform but for smoothing; equally frequent words enter the vocabulary by hash; repeated
+model is uniform but for smoothing; equally frequent words enter a limited vocabulary by hash; repeated
 rows count each time; other columns are not read.
 """
 
@@ -22,28 +26,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.shared import stored
-from tillwatch.llm.words import word_slices
+from tillwatch.llm.words import mix, word_slices
 
-#: words of the shared vocabulary; one more stands for all others
-VOCABULARY = 2_047
 #: pseudo-counts of the fallback, of bigrams on words and of words on the uniform distribution
 PRIOR = 50.0
-#: counts gathered in a task before they are summed (24 bytes each)
+#: counts gathered in a task before they are summed (40 bytes each)
 GATHER = 1_000_000
+#: bigrams, and words, that may be broadcast
+HOT = 500_000
+HOT_WORDS = 100_000
+#: stands for an unknown word, and before a text's first
+UNKNOWN = 0
+
+Part = tuple[np.ndarray, ...]
 
 
-def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return (keys, *(np.bincount(where, weights=np.concatenate([p[c] for p in parts]), minlength=len(keys)).astype(np.int64) for c in (1, 2)))
+def _summed(parts: list[Part]) -> Part:
+    """Pair, first, second, n, n_target with n and n_target summed over equal pairs."""
+    pair, first, second, n, target = (np.concatenate(c) for c in zip(*parts))
+    keys, at, where = np.unique(pair, return_index=True, return_inverse=True)
+    return keys, first[at], second[at], *(np.bincount(where, weights=c, minlength=len(keys)).astype(np.int64) for c in (n, target))
 
 
-def _counted(keys: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    own, where = np.unique(keys, return_inverse=True)
-    return own, np.bincount(where, minlength=len(own)), np.bincount(where, weights=target, minlength=len(own)).astype(np.int64)
+def _record(part: Part) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in part[1:]], names=["first", "second", "n", "n_target"])
 
 
-def _gather(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """key, n, n_target, summed within the task as far as memory allows."""
+def _gather(parts: Iterator[Part]) -> Iterator[pa.RecordBatch]:
+    """Parts summed within the task as far as memory allows."""
     held, size = [], 0
     for part in parts:
         held.append(part)
@@ -52,91 +62,128 @@ def _gather(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]
             held = [_summed(held)]
             size = len(held[0][0])
             if size > GATHER // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in held[0]], names=["key", "n", "n_target"])
+                yield _record(held[0])
                 held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in _summed(held)], names=["key", "n", "n_target"])
+        yield _record(_summed(held))
+
+
+def bigrams(words, known: np.ndarray | None) -> Part:
+    """pair, first, second for each word, as hashes; a text's first word follows the unknown one."""
+    second = words.hashes().view(np.int64)
+    if known is not None:
+        at = np.searchsorted(known, second)
+        at[at == len(known)] = 0
+        second = np.where(known[at] == second, second, UNKNOWN) if len(known) else np.full_like(second, UNKNOWN)
+    first = np.empty_like(second)
+    first[1:] = second[:-1]
+    first[words.bounds[:-1][words.counts > 0]] = UNKNOWN
+    return pair_hash(first, second), first, second
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def parts() -> Iterator[tuple[np.ndarray, ...]]:
+def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first.view(np.uint64) * np.uint64(0xA24BAED4963EE407) + mix(second.view(np.uint64))).view(np.int64)
+
+
+def _count_bigrams(batches: Iterator[pa.RecordBatch], known: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    def parts() -> Iterator[Part]:
         for batch in batches:
             target = batch.column("target").to_numpy(zero_copy_only=False)
             for i, j, words in word_slices(batch.column("text"), "letters_lower"):
-                yield _counted(words.hashes().view(np.int64), target[i:j][words.text_of_word()])
+                found = bigrams(words, known)
+                yield _summed([(*found, np.ones(len(found[0])), target[i:j][words.text_of_word()])])
 
     return _gather(parts())
 
 
-def coded(words, vocabulary: np.ndarray) -> np.ndarray:
-    """Place in the vocabulary of each word, its size for an unknown one."""
-    hashes = words.hashes().view(np.int64)
-    if not len(vocabulary):
-        return np.zeros(len(hashes), np.int64)
-    at = np.searchsorted(vocabulary, hashes)
-    at[at == len(vocabulary)] = 0
-    return np.where(vocabulary[at] == hashes, at, len(vocabulary))
+def _vocabulary(pairs: DataFrame, vocabulary: int) -> np.ndarray:
+    words = pairs.groupBy("second").agg(F.sum("n").alias("n"))
+    return np.sort(words.orderBy(F.desc("n"), "second").limit(vocabulary).toPandas()["second"].to_numpy(np.int64))
 
 
-def bigrams(words, codes: np.ndarray, size: int) -> np.ndarray:
-    """first * size + second for each word but a text's first; that one follows the unknown word."""
-    before = np.empty_like(codes)
-    before[1:] = codes[:-1]
-    before[words.bounds[:-1][words.counts > 0]] = size - 1
-    return before * size + codes
+def _with_word(pairs: DataFrame, word: str, total: int) -> DataFrame:
+    """pairs with the sums n_<word> and t_<word> over all pairs of that word.  Common words, fewer than HOT_WORDS, are broadcast."""
+    sums = stored(pairs.groupBy(word).agg(F.sum("n").alias("sn"), F.sum("n_target").alias("st")), f"words-{word}")
+    hot, cold = (sums.filter(c).select(F.col(word).alias(f"{s}_key"), F.col("sn").alias(f"{s}_n"), F.col("st").alias(f"{s}_t"))
+                 for c, s in ((F.col("sn") * HOT_WORDS > total, "hot"), (F.col("sn") * HOT_WORDS <= total, "cold")))
+    found = pairs.join(F.broadcast(hot), F.col(word) == F.col("hot_key"), "left")
+    # what is found already is spread over the next join's tasks
+    found = found.withColumn("_at", F.when(F.col("hot_key").isNull(), F.col(word)).otherwise(F.xxhash64("first", "second")))
+    found = found.join(cold, (F.col("_at") == F.col("cold_key")) & F.col("hot_key").isNull(), "left")
+    return found.withColumns({f"n_{word}": F.coalesce("hot_n", "cold_n"), f"t_{word}": F.coalesce("hot_t", "cold_t")}).drop(
+        "_at", *(f"{s}_{c}" for s in ("hot", "cold") for c in ("key", "n", "t")))
 
 
-def _count_bigrams(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
-    size = len(vocabulary) + 1
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pair = pair_hash(*(batch.column(c).to_numpy().astype(np.int64) for c in ("first", "second")))
+        yield pa.RecordBatch.from_arrays([pa.array(pair), batch.column("n"), batch.column("difference")], names=["pair", "n", "difference"])
 
-    def parts() -> Iterator[tuple[np.ndarray, ...]]:
-        for batch in batches:
-            target = batch.column("target").to_numpy(zero_copy_only=False)
-            for i, j, words in word_slices(batch.column("text"), "letters_lower"):
-                yield _counted(bigrams(words, coded(words, vocabulary), size), target[i:j][words.text_of_word()])
 
-    return _gather(parts())
+def learn_difference(rows: DataFrame, vocabulary: int | None = None, prior: float = PRIOR) -> tuple[DataFrame, int, np.ndarray | None]:
+    """Stored pair, n, difference (target loss minus background loss) of every bigram of rows text, target; the number
+    of tokens; and the hashes of a limited vocabulary."""
+    def counted(known) -> DataFrame:
+        found = rows.mapInArrow(lambda b: _count_bigrams(b, known.value if known else None), "first long, second long, n long, n_target long")
+        return stored(found.groupBy("first", "second").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "bigrams")
 
+    pairs, known = counted(None), None
+    if vocabulary is not None:
+        known = _vocabulary(pairs, vocabulary)
+        pairs = counted(rows.sparkSession.sparkContext.broadcast(known))
+    total, target = (x or 0 for x in pairs.agg(F.sum("n"), F.sum("n_target")).first())
+    size = 1 + (len(known) if known is not None else pairs.select("second").distinct().count())
 
-def log_probabilities(counts: np.ndarray, prior: float) -> np.ndarray:
-    """log p(second | first) from a square table of bigram counts."""
-    size = len(counts)
-    words = counts.sum(axis=0)
-    single = (words + prior / size) / (words.sum() + prior)
-    return np.log((counts + prior * single) / (counts.sum(axis=1, keepdims=True) + prior))
-
-
-def learn_difference(rows: DataFrame, vocabulary: int = VOCABULARY, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of the vocabulary in order, and the table of target loss minus background loss of rows text, target."""
-    counts = "key long, n long, n_target long"
-    words = rows.mapInArrow(_count_words, counts).groupBy("key").agg(F.sum("n").alias("n"))
-    known = np.sort(words.orderBy(F.desc("n"), "key").limit(vocabulary).toPandas()["key"].to_numpy(np.int64))
-    shared = rows.sparkSession.sparkContext.broadcast(known)
-    pairs = rows.mapInArrow(lambda b: _count_bigrams(b, shared.value), counts).groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    size = len(known) + 1
-    tables = np.zeros((2, size * size), np.int64)
-    for part in stored(pairs, "bigrams").toLocalIterator():  # at most size * size rows
-        tables[0, part.key], tables[1, part.key] = part.n, part.n_target
-    background, target = (log_probabilities(t.reshape(size, size), prior) for t in tables)
-    return known, (background - target).astype(np.float32)
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    known, difference = model
-    size, flat = len(difference), difference.reshape(-1)
-    for batch in batches:
-        for i, j, words in word_slices(batch.column("text"), "letters_lower"):
-            sums = np.concatenate([[0.0], np.cumsum(flat[bigrams(words, coded(words, known), size)], dtype=np.float64)])
-            n = words.counts
-            score = (sums[words.bounds[1:]] - sums[words.bounds[:-1]]) / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(n, pa.int64()), pa.array(score, mask=n == 0)], names=["doc_id", "n_tokens", "score"])
+    def log_probability(n: str, first: str, second: str, tokens: int) -> F.Column:
+        single = (F.col(second) + prior / size) / (tokens + prior)
+        return F.log((F.col(n) + prior * single) / (F.col(first) + prior))
+
+    difference = log_probability("n", "n_first", "n_second", total) - log_probability("n_target", "t_first", "t_second", target)
+    model = _with_word(_with_word(pairs, "first", total), "second", total)
+    model = model.select("first", "second", "n", difference.cast("float").alias("difference"))
+    return stored(model.mapInArrow(_keyed, "pair long, n long, difference float"), "differences"), total, known
 
 
-def score_documents(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, prior: float = PRIOR) -> DataFrame:
+def _sum_hot(batches: Iterator[pa.RecordBatch], known: np.ndarray | None, hot: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Of each text one row with minus its tokens as n and the sum over its hot bigrams, and one for each other bigram with its number."""
+    pairs, difference = hot
+    for batch in batches:
+        keys = batch.column("key").to_numpy().astype(np.int64)
+        for i, j, words in word_slices(batch.column("text"), "letters_lower"):
+            pair, text = bigrams(words, known)[0], words.text_of_word()
+            sums, cold = np.zeros(j - i), np.ones(len(pair), bool)
+            if len(pairs) and len(pair):
+                at = np.searchsorted(pairs, pair)
+                at[at == len(pairs)] = 0
+                cold = pairs[at] != pair
+                sums = np.bincount(text[~cold], weights=difference[at[~cold]], minlength=j - i)
+            text, pair = text[cold], pair[cold]
+            order = np.lexsort((pair, text))
+            text, pair = text[order], pair[order]
+            new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])])[: len(text)])
+            n = np.diff(np.concatenate([new, [len(text)]]))
+            own = keys[i:j]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([own, own[text[new]]])), pa.array(np.concatenate([own, pair[new]])),
+                pa.array(np.concatenate([-words.counts, n]).astype(np.int64)), pa.array(np.concatenate([sums, np.zeros(len(new))])),
+            ], names=["key", "pair", "n", "hot"])
+
+
+def score_documents(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int | None = None, prior: float = PRIOR, hot: int = HOT) -> DataFrame:
     """doc_id, n_tokens, score of every row; target_ids has the ids of the target rows in its column of the same name."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chosen = target_ids.select(F.col(doc_id).cast("long").alias("doc_id")).filter("doc_id is not null").distinct().withColumn("target", F.lit(1.0))
     # ids join ids: a text takes its mark from a narrow table
     marked = rows.join(chosen, "doc_id", "left").select("text", F.coalesce("target", F.lit(0.0)).alias("target"))
-    model = docs.sparkSession.sparkContext.broadcast(learn_difference(marked, vocabulary, prior))
-    return rows.mapInArrow(lambda b: _score(b, model.value), "doc_id long, n_tokens long, score double")
+    model, total, known = learn_difference(marked, vocabulary, prior)
+    common = model.filter(F.col("n") * hot > total).select("pair", "difference").toPandas().sort_values("pair")
+    shared = docs.sparkSession.sparkContext.broadcast((known, (common["pair"].to_numpy(np.int64), common["difference"].to_numpy(np.float32))))
+    # rows with the same id and text have the same key and the same score
+    keyed = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    parts = keyed.select("key", "text").mapInArrow(lambda b: _sum_hot(b, *shared.value), "key long, pair long, n long, hot double")
+    rare = model.filter(F.col("n") * hot <= total).select("pair", "difference")
+    own, summed = F.col("n") <= 0, F.col("hot") + F.when(F.col("n") > 0, F.col("n") * F.col("difference")).otherwise(0.0)
+    sums = parts.join(rare, "pair", "left").groupBy("key").agg(
+        F.sum(F.when(own, -F.col("n"))).alias("tokens"), F.count(F.when(own, F.lit(1))).alias("copies"), F.sum(summed).alias("sum"))
+    scores = sums.select("key", F.expr("tokens div copies").alias("n_tokens"), (F.col("sum") / F.nullif("tokens", F.lit(0))).alias("score"))
+    return keyed.select("doc_id", "key").join(scores, "key", "left").select("doc_id", "n_tokens", "score")
