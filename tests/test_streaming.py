@@ -284,3 +284,31 @@ def test_window_medians_are_exact_in_large_groups(spark):
     both = windows.per_transaction(windows.amount_per_window(rows, "2 hours", "1 hour")).alias("w").join(
         batch.alias("b"), "tx_id").filter("not (w.user_median_amount <=> b.user_median_amount)")
     assert both.count() == 0
+
+
+def test_live_medians_are_exact_and_rows_without_a_user_stay(spark, rocks, folder, tmp_path):
+    import random
+
+    from tillwatch.streaming.live import live_scores
+
+    rng = random.Random(3)
+    n = 24_000
+    amounts = [round(rng.lognormvariate(9, 0.001) if i % 2 else rng.uniform(-5, 20_000), 4) for i in range(n)]
+    rows = [(f"t{i:06d}", "u", i * 7200 // n, amounts[i], "VN") for i in range(n)]
+    for k in range(3):
+        alone = [message(f"x{k}{i}", None, k * 2400 + i, 5.0 + i, "US" if i % 2 else "VN") for i in range(3)]
+        write_file(folder, k, [message(*r) for r in rows[k * 8000:(k + 1) * 8000]] + alone)
+    out = str(tmp_path / "o")
+    drain(live_scores(file_stream(spark, folder)), out, str(tmp_path / "c"))
+    got = {r["tx_id"]: r for r in spark.read.parquet(out).collect()}
+    assert len(got) == n + 9
+    for k in range(3):
+        for i in range(3):
+            r = got[f"x{k}{i}"]
+            assert (r["user_id"], r["tx_count_60s"], r["user_median_amount"], r["geo_anomaly_flag"]) == (None, 1, 5.0 + i, False)
+    import bisect
+
+    so_far = []
+    for tx, _, _, amount, _ in rows:
+        bisect.insort(so_far, amount)
+        assert got[tx]["user_median_amount"] == so_far[(len(so_far) - 1) // 2]

@@ -4,14 +4,15 @@ Looks back only: count of the user's last 60 seconds, median of the current and
 slots, another country in the last 30 minutes.  So it flags the *later* transaction of a country
 pair, where the batch rules, which can see ahead, flag the earlier one.
 
-State per user is bounded: millisecond counts of one minute, the last time per country, and per hour
-slot a histogram of amounts that is cut to four significant digits once it has more than
-``EXACT_AMOUNTS`` entries.
+State per user: millisecond counts of one minute, the last time per country, per hour slot a count for
+each range of amounts (some thousand ranges at most), and in a map, by slot and range, the amounts
+themselves with their counts.  A median is found by the range counts first; only the amounts of its range
+are then read.  So medians are exact at any size.  Rows without a user each stand alone and have no state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ MINUTE_MS = 60_000
 HOUR_MS = 3_600_000
 GEO_MS = 30 * MINUTE_MS
 SLOTS = 24
+# of fold(), which the scorer does not use
 EXACT_AMOUNTS = 10_000
 
 INPUT = ["tx_id", "user_id", "merchant", "amount", "country_code", "tx_at"]
@@ -34,8 +36,10 @@ OUTPUT = (
 )
 STATE = (
     "ms array<bigint>, ms_n array<bigint>, country array<string>, country_ms array<bigint>, "
-    "slot array<bigint>, amount array<double>, amount_n array<bigint>"
+    "slot array<bigint>, range array<bigint>, range_n array<bigint>"
 )
+AMOUNTS_KEY = "slot bigint, range bigint"
+AMOUNTS = "amount array<double>, n array<bigint>"
 
 
 def four_digits(values: np.ndarray) -> np.ndarray:
@@ -90,15 +94,17 @@ class RunningMedian:
             i += i & -i
 
     def median(self) -> float | None:
-        if not self.total:
-            return None
-        wanted, i, step = (self.total + 1) // 2, 0, self.top
+        return self.ranked((self.total + 1) // 2)[0] if self.total else None
+
+    def ranked(self, wanted: int) -> tuple[float, int]:
+        """The value of a rank from 1, and the rank among its equals."""
+        i, step = 0, self.top
         while step:
             if i + step < len(self.tree) and self.tree[i + step] < wanted:
                 i += step
                 wanted -= self.tree[i]
             step >>= 1
-        return float(self.values[i])
+        return float(self.values[i]), int(wanted)
 
 
 def counts_to(at: np.ndarray, ms: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -109,26 +115,55 @@ def counts_to(at: np.ndarray, ms: np.ndarray, n: np.ndarray) -> np.ndarray:
             - before[np.searchsorted(ms, at - MINUTE_MS, "right")])
 
 
-def running_medians(slot: np.ndarray, value: np.ndarray, hist: tuple) -> list[float | None]:
-    """Per new value (in time order), the median of the SLOTS hour slots that end with its own,
-    over the stored histogram and the new values so far."""
+def amount_range(amount: np.ndarray) -> np.ndarray:
+    """A range that holds the amount: sign, power of two and 128 steps in it.  Larger amounts never have a
+    smaller range."""
+    size = np.abs(amount).view("int64") >> 45
+    return np.where(amount < 0, -size - 1, size)
+
+
+def running_medians(slot: np.ndarray, value: np.ndarray, counts: tuple,
+                    amounts: Callable[[int, int], tuple]) -> list[float | None]:
+    """Per new value (in time order), the median of the SLOTS hour slots that end with its own, over
+    what is stored and the new values so far.
+
+    ``counts`` are the stored (slot, range, n); ``amounts`` gives those of one slot and range.
+    """
     medians: list[float | None] = []
-    one = np.ones(len(slot), "int64")
     known = ~np.isnan(value)
-    all_slot = np.concatenate([hist[0], slot[known]])
-    all_value = np.concatenate([hist[1], value[known]])
-    all_n = np.concatenate([hist[2], one[known]])
-    stored = len(hist[0])
+    ranges = np.where(known, amount_range(value), 0)
     for start in np.unique(slot):
         # everything of the earlier slots, and what was stored of this one
-        base = (all_slot > start - SLOTS * HOUR_MS) & (all_slot < start)
-        base[:stored] |= hist[0] == start
-        own = value[slot == start]
-        ranks = RunningMedian(all_value[base], all_n[base], own[~np.isnan(own)])
-        for v in own:
-            if v == v:
-                ranks.add(v)
-            medians.append(ranks.median())
+        stored = (counts[0] > start - SLOTS * HOUR_MS) & (counts[0] <= start)
+        earlier = known & (slot > start - SLOTS * HOUR_MS) & (slot < start)
+        own = np.flatnonzero(slot == start)
+        mine = own[known[own]]
+        begin = np.concatenate([counts[1][stored], ranges[earlier]])
+        n = np.concatenate([counts[2][stored], np.ones(int(earlier.sum()), "int64")])
+        ranks = RunningMedian(begin, n, ranges[mine])
+        inside: dict[int, RunningMedian] = {}
+        added: dict[int, list[float]] = {}
+        for i in own.tolist():
+            if known[i]:
+                at = int(ranges[i])
+                ranks.add(at)
+                added.setdefault(at, []).append(value[i])
+                if at in inside:
+                    inside[at].add(value[i])
+            if not ranks.total:
+                medians.append(None)
+                continue
+            at, rank = ranks.ranked((ranks.total + 1) // 2)
+            at = int(at)
+            if at not in inside:
+                old = [amounts(int(s), at) for s in counts[0][stored & (counts[1] == at)]]
+                new = value[earlier & (ranges == at)]
+                first = np.concatenate([*(np.asarray(a, "float64") for a, _ in old), new, np.zeros(0)])
+                times = np.concatenate([*(np.asarray(k, "int64") for _, k in old), np.ones(len(new), "int64")])
+                inside[at] = RunningMedian(first, times, value[mine[ranges[mine] == at]])
+                for v in added.get(at, []):
+                    inside[at].add(v)
+            medians.append(inside[at].ranked(rank)[0])
     return medians
 
 
@@ -148,6 +183,7 @@ class TrailingScorer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("trailing", STATE)
+        self.amounts = handle.getMapState("amounts", AMOUNTS_KEY, AMOUNTS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
@@ -156,18 +192,29 @@ class TrailingScorer(StatefulProcessor):
         batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if len(batch) > 1:
             batch = batch.sort_values(["tx_at", "tx_id"])
+        if batch["user_id"].iloc[0] is None:
+            yield batch.assign(
+                tx_count_60s=1, user_median_amount=batch["amount"], geo_anomaly_flag=False,
+            )[[*INPUT, "tx_count_60s", "user_median_amount", "geo_anomaly_flag"]]
+            return
         at = batch["tx_at"].to_numpy("datetime64[us]").astype("int64") // 1000
         stored = self.state.get() if self.state.exists() else ([],) * 7
         one = np.ones(len(at), "int64")
         ms = np.concatenate([np.asarray(stored[0], "int64"), at])
         ms_n = np.concatenate([np.asarray(stored[1], "int64"), one])
         last = dict(zip(stored[2], stored[3]))
-        hist = (np.asarray(stored[4], "int64"), np.asarray(stored[5], "float64"),
-                np.asarray(stored[6], "int64"))
-        now_slot, value = at - at % HOUR_MS, batch["amount"].to_numpy("float64")
+        counts = tuple(np.asarray(c, "int64") for c in stored[4:])
+        now_slot, value = at - at % HOUR_MS, batch["amount"].to_numpy("float64") + 0.0
+        read: dict[tuple[int, int], tuple] = {}
+
+        def amounts(slot: int, of: int) -> tuple:
+            if (slot, of) not in read:
+                read[slot, of] = self.amounts.getValue((slot, of)) or ([], [])
+            return read[slot, of]
+
         scored = batch.assign(
             tx_count_60s=counts_to(at, ms, ms_n),
-            user_median_amount=running_medians(now_slot, value, hist),
+            user_median_amount=running_medians(now_slot, value, counts, amounts),
             geo_anomaly_flag=seen_elsewhere(at, batch["country_code"], last),
         )
 
@@ -175,15 +222,31 @@ class TrailingScorer(StatefulProcessor):
         near = ms > newest - 2 * MINUTE_MS
         keep_ms, where = np.unique(ms[near], return_inverse=True)
         keep_n = np.bincount(where, weights=ms_n[near]).astype("int64")
-        known = ~np.isnan(value)
-        slot, amount, n = (np.concatenate([old, new[known]])
-                           for old, new in zip(hist, (now_slot, value, one)))
-        recent = slot > newest - (SLOTS + 1) * HOUR_MS
-        slot, amount, n = fold(slot[recent], amount[recent], n[recent])
+        oldest = newest - (SLOTS + 1) * HOUR_MS
+        for old, of in zip(counts[0][counts[0] <= oldest].tolist(), counts[1][counts[0] <= oldest].tolist()):
+            self.amounts.removeKey((old, of))
+        recent = ~np.isnan(value) & (now_slot > oldest)
+        new_slot, new_value = now_slot[recent], value[recent]
+        new_range, new_n = amount_range(new_value), np.ones(len(new_value), "int64")
+        held = {(s, r) for s, r in zip(counts[0].tolist(), counts[1].tolist())}
+        order = np.lexsort((new_range, new_slot))
+        edges = np.flatnonzero(np.concatenate([[True], (np.diff(new_slot[order]) != 0) | (np.diff(new_range[order]) != 0), [True]]))
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if i == j:
+                continue
+            key = (int(new_slot[order[i]]), int(new_range[order[i]]))
+            had = amounts(*key) if key in held else ([], [])
+            values = np.concatenate([np.asarray(had[0], "float64"), new_value[order[i:j]]])
+            n = np.concatenate([np.asarray(had[1], "int64"), new_n[i:j]])
+            _, values, n = _merge(np.zeros(len(values), "int64"), values, n)
+            self.amounts.updateValue(key, (values.tolist(), n.tolist()))
+        kept = counts[0] > oldest
+        slot, ranges, n = _merge(*(np.concatenate([c[kept], new]) for c, new in
+                                   zip(counts, (new_slot, new_range, new_n))))
         last = {c: t for c, t in last.items() if t >= newest - 2 * GEO_MS}
         self.state.update((
             keep_ms.tolist(), keep_n.tolist(), list(last), list(last.values()),
-            slot.tolist(), amount.tolist(), n.tolist(),
+            slot.tolist(), ranges.tolist(), n.tolist(),
         ))
         self.handle.registerTimer(newest + (SLOTS + 1) * HOUR_MS)
         yield scored[[*INPUT, "tx_count_60s", "user_median_amount", "geo_anomaly_flag"]]
@@ -195,6 +258,7 @@ class TrailingScorer(StatefulProcessor):
             newest = max(slots) if slots else 0
             if newest <= expiredTimerInfo.getExpiryTimeInMs() - SLOTS * HOUR_MS:
                 self.state.clear()
+                self.amounts.clear()
         return iter(())
 
     def close(self) -> None:
@@ -206,8 +270,10 @@ def trailing_score(stream: DataFrame) -> DataFrame:
     rows = stream.select(
         "tx_id", "user_id", "merchant", F.col("amount").cast("double").alias("amount"),
         F.upper(F.trim("country")).alias("country_code"), "tx_at",
-    ).filter(F.col("user_id").isNotNull())
-    ruled = rows.groupBy("user_id").transformWithStateInPandas(
+    )
+    # rows without a user share no state; the transaction spreads them over tasks
+    rows = rows.withColumn("alone", F.when(F.col("user_id").isNull(), F.col("tx_id")))
+    ruled = rows.groupBy("user_id", "alone").transformWithStateInPandas(
         statefulProcessor=TrailingScorer(),
         outputStructType=OUTPUT,
         outputMode="append",
