@@ -107,6 +107,14 @@ def test_licenses(make):
     assert licenses.license_report(make([])).count() == 0
 
 
+def test_misspelt_short_notices(make):
+    texts = {1: "Apache Licence 2.0", 2: "under the Apach License, Version", 3: "MIT Licence", 4: "the mit licens of it", 5: "CC BY 4.0", 6: "we permit licensees", 7: "cc bz", 8: "a licensed driver", 9: "licensed under the Apache Licence"}
+    got = {r["doc_id"]: r for r in licenses.license_report(make(texts.items())).collect()}
+    want = {1: "apache", 2: "apache", 3: "mit", 4: "mit", 5: "cc-by", 6: "", 7: "", 8: "", 9: "apache"}
+    assert {d: r["labels"] for d, r in got.items()} == want
+    assert all(got[d]["score"] == 0.5 and got[d]["base_labels"] == "" for d in (1, 2, 3, 4)) and got[5]["score"] == 1 and len(got[9]["fuzzy"]) == 1
+
+
 def test_fuzzy_notices_find_every_small_edit():
     rnd, scanner, phrase = random.Random(2), licenses.Scanner(), "mozilla public license"
     for _ in range(200):

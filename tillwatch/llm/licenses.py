@@ -41,7 +41,12 @@ NOTICES = {
     "licensed under cc by": "cc-by",
     "permission is hereby granted free of charge": "mit",
     "all rights reserved": "reserved",
+    "apache license": "apache",
+    "mit license": "mit",
+    "cc by": "cc-by",
 }
+#: a base phrase below SHORT characters is a notice only at word edges, with one error from SHORT // 3 characters on
+SHORT = 24
 #: one error is allowed for so many characters of a phrase
 CHARS_PER_ERROR = 12
 SPANS = "array<struct<label:string,first:int,last:int,errors:int>>"
@@ -54,12 +59,14 @@ class Scanner:
         self.notices = []
         for text, label in notices.items():
             phrase = text.encode()
-            k = len(phrase) // chars_per_error
-            pattern = regex.compile(rb"(?b)(?:" + regex.escape(phrase, literal_spaces=True) + b"){e<=%d}" % k)
+            k, edge = len(phrase) // chars_per_error, b""
+            if text in phrases and len(phrase) < SHORT:
+                k, edge = max(k, int(len(phrase) >= SHORT // 3)), b" "
+            pattern = regex.compile(rb"(?b)" + edge + b"(?:" + regex.escape(phrase, literal_spaces=True) + b"){e<=%d}" % k + edge)
             edges = [len(phrase) * n // (k + 1) for n in range(k + 2)]
             for a, b in zip(edges, edges[1:]):
                 self.seeds.setdefault(phrase[a:b], []).append((len(self.notices), a))
-            self.notices.append((phrase, label, k, pattern))
+            self.notices.append((edge + phrase + edge, label, k, pattern, len(edge)))
 
     def exact(self, text: bytes) -> list[tuple[int, str]]:
         """(first word, label) of every place of a phrase; text begins and ends with a space."""
@@ -78,13 +85,14 @@ class Scanner:
             at = text.find(seed)
             while at >= 0:
                 for n, offset in uses:
-                    phrase, _, k, _ = self.notices[n]
-                    begin = at - offset
+                    phrase, _, k, _, edge = self.notices[n]
+                    begin = at - offset - edge
                     windows.add((n, max(0, begin - k), min(len(text), begin + len(phrase) + k)))
                 at = text.find(seed, at + 1)
         best: dict[tuple[str, int], tuple] = {}
+        short: dict[tuple[str, int], tuple] = {}
         for n, begin, end in windows:
-            _, label, _, pattern = self.notices[n]
+            _, label, _, pattern, edge = self.notices[n]
             hit = pattern.search(text, begin, end)
             if hit:
                 errors = sum(hit.fuzzy_counts)
@@ -96,8 +104,15 @@ class Scanner:
                 first = text.count(b" ", 0, a) - 1
                 row = (label, first, first + text.count(b" ", a, b) + 1, errors)
                 key = (label, first)
-                if key not in best or errors < best[key][3]:
+                if edge:
+                    short[key] = min(row, short.get(key, row), key=lambda r: r[3])
+                elif key not in best or errors < best[key][3]:
                     best[key] = row
+        # a short notice within a longer one of its label is that one
+        covered = {(label, w) for label, a, b, _ in best.values() for w in range(a, b)}
+        for key, row in short.items():
+            if not any((row[0], w) in covered for w in range(row[1], row[2])):
+                best[key] = row
         return sorted(best.values(), key=lambda r: (r[1], r[0]))
 
 
