@@ -32,6 +32,29 @@ def test_bpe_equals_the_library(make):
     assert bpe.encode_documents(make([]), path).count() == 0
 
 
+def test_bpe_parts_of_a_long_text_are_one_batch():
+    path = queries.tokenizer_path()
+    library, own, batches = Tokenizer.from_file(path), bpe.Bpe(path, leaf=64), []
+
+    class Counted:
+        def __init__(self, inner, name):
+            self.inner, self.name = inner, name
+
+        def __getattr__(self, name):
+            def call(*a, **k):
+                if name == self.name:
+                    batches.append(len(a[0]))
+                return getattr(self.inner, name)(*a, **k)
+
+            return call
+
+    own.fast = own.fast and Counted(own.fast, "encode_ordinary_batch")
+    own.tokenizer = Counted(own.tokenizer, "encode_batch")
+    text = "the long text goes on 'n on " * 60 + "日本 ends it " * 60
+    assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(batches) <= 2 and sum(batches) == len(own.cuts(text.encode())) - 1 > 20
+
+
 def test_language_held_out_accuracy(spark, sf):
     found = queries.language_query(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
     rates = {r["held_out"]: r["rate"] for r in found.groupBy("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("rate")).collect()}

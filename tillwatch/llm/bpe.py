@@ -1,8 +1,8 @@
 """BPE encoding and decoding by tree concatenation.
 
-A long text is halved until its parts have at most LEAF bytes, parts are encoded in one batch, and
-neighbours are joined pairwise.  A join re-encodes a window of tokens around the cut and grows it
-until the window's first and last tokens are the tokens that the two sides already have there.  In a
+A long text is halved until its parts have at most LEAF bytes, parts are encoded in one batch of
+parallel threads within the text's task, and neighbours are joined pairwise.  A join re-encodes a
+window of tokens around the cut and grows it until the window's first and last tokens are the tokens that the two sides already have there.  In a
 BPE encoding any two neighbouring tokens are what their joined text encodes to, and a sequence with
 that property is the encoding; so parts spliced at shared tokens are exact.  A window starts and ends
 where the pre-tokeniser cannot see a difference: before white space that follows other characters, or
@@ -34,6 +34,8 @@ from tillwatch.llm.shared import texts_of, with_rest
 
 LEAF = 16_384
 WINDOW = 8
+#: threads for the parts of a long text
+THREADS = 4
 #: fixed value: the pre-tokenisation pattern of byte-level BPE
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PLAIN = re.compile("[\t\n\r -~¡-¬®-ɏ]*")
@@ -81,6 +83,14 @@ class Bpe:
             return self.fast.encode_ordinary(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def encode_parts(self, texts: list[str]) -> list[list[int]]:
+        """encode_part of each, the parts in parallel threads of the libraries."""
+        plain = [self.fast is not None and _PLAIN.fullmatch(t) is not None for t in texts]
+        fast = iter(self.fast.encode_ordinary_batch([t for t, p in zip(texts, plain) if p], num_threads=THREADS) if any(plain) else [])
+        rest = [t for t, p in zip(texts, plain) if not p]
+        other = iter([e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)] if rest else [])
+        return [next(fast) if p else next(other) for p in plain]
+
     def cuts(self, raw: bytes) -> list[int]:
         """Byte offsets at which a long text is halved, outermost first left to right: preferably before white space."""
         found, todo = [0, len(raw)], [(0, len(raw))]
@@ -104,7 +114,8 @@ class Bpe:
         if len(raw) <= self.leaf:
             return np.array(self.encode_part(text), np.int64)
         edges = self.cuts(raw)
-        parts = [(a, b, np.array(self.encode_part(raw[a:b].decode()), np.int64)) for a, b in zip(edges, edges[1:])]
+        ids = self.encode_parts([raw[a:b].decode() for a, b in zip(edges, edges[1:])])
+        parts = [(a, b, np.array(i, np.int64)) for a, b, i in zip(edges, edges[1:], ids)]
         while len(parts) > 1:
             joined = [self.join(raw, *parts[k], *parts[k + 1]) for k in range(0, len(parts) - 1, 2)]
             parts = joined + parts[len(joined) * 2 :]
