@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, decontaminate, html, jaccard, language, licenses, lm_score, sharding, simhash, substrings
+from tillwatch.llm import bpe, decontaminate, filter_audit, html, jaccard, language, licenses, lm_score, sharding, simhash, substrings
 
 SHARDS = [f"shard-{n:02d}" for n in range(32)]
 
@@ -89,6 +89,10 @@ def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def filter_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding_query,
     "op2_lm_scoring": lm_scoring_query,
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_query,
     "op9_fingerprints": fingerprint_query,
     "op10_jaccard_join": jaccard_query,
+    "op11_filter_audit": filter_audit_query,
 }
 
 
@@ -185,4 +190,46 @@ reach(a, b) as (select a, b from both_ways union select r.a, l.b from reach r jo
 select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) as component_id
 from doc d left join sizes s using (doc_id) left join reach r on r.a = d.doc_id
 group by d.doc_id, n""",
+    "op11_filter_audit": r"""
+with doc as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+         coalesce(min(doc_id) over (partition by coalesce(text, '')) < doc_id, false) as repeated
+  from documents
+),
+said as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+words as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from doc),
+fails as (
+  select part, doc_id, [
+    len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+    regexp_matches(t, '[#$%&*|]'), repeated] as f
+  from words
+),
+cells as (
+  select part, f, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic from fails left join said using (doc_id) group by part, f
+),
+filters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l, unnest([1, 2, 3, 4, 5]) as k),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order, [a.k, b.k, c.k, d.k, e.k] as ks
+  from filters a, filters b, filters c, filters d, filters e
+  where a.k not in (b.k, c.k, d.k, e.k) and b.k not in (c.k, d.k, e.k) and c.k not in (d.k, e.k) and d.k <> e.k
+),
+steps as (select filter_order, step, ks[step] as k, ks[1 : step - 1] as before from orders, range(1, 6) t(step)),
+seen as (
+  select part, filter_order, step, k, n, good, toxic, f[k] as fails, list_bool_or(list_transform(before, lambda b: f[b])) as gone,
+         list_sum(list_transform(f, lambda x: x::int)) = 1 as sole
+  from cells, steps
+),
+sums as (
+  select part, filter_order, step, k,
+         coalesce(sum(n) filter (not fails and not coalesce(gone, false)), 0)::bigint as kept,
+         coalesce(sum(n) filter (fails and not coalesce(gone, false)), 0)::bigint as removed,
+         coalesce(sum(n) filter (fails and coalesce(gone, false)), 0)::bigint as redundant,
+         coalesce(sum(n) filter (fails and sole), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter (fails and not coalesce(gone, false)), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (fails and not coalesce(gone, false)), 0)::bigint as toxic_lost
+  from seen group by part, filter_order, step, k
+)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, k))::bigint as shapley
+from sums""",
 }
