@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, decontaminate, filter_audit, html, jaccard, language, licenses, lm_score, sharding, simhash, substrings
+from tillwatch.llm import bpe, conversations, decontaminate, filter_audit, html, jaccard, language, licenses, lm_score, sharding, simhash, substrings
 
 SHARDS = [f"shard-{n:02d}" for n in range(32)]
 
@@ -93,6 +93,11 @@ def filter_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def conversation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.repair_conversations(conversations.damaged(given), given, digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding_query,
     "op2_lm_scoring": lm_scoring_query,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": fingerprint_query,
     "op10_jaccard_join": jaccard_query,
     "op11_filter_audit": filter_audit_query,
+    "op12_conversation_repair": conversation_query,
 }
 
 
