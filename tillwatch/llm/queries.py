@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, conversations, decontaminate, filter_audit, html, jaccard, language, licenses, lm_score, sharding, simhash, substrings
+from tillwatch.llm import bpe, conversations, decontaminate, filter_audit, html, jaccard, language, licenses, lm_score, sharding, simhash, substrings, token_files
+from tillwatch.llm.shared import shared_folder, stored
 
 SHARDS = [f"shard-{n:02d}" for n in range(32)]
+#: fixed value: the id written after each document
+END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,8 +76,6 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For ids divisible by 100 also n_near: how many documents have a fingerprint within the radius (itself included)."""
-    from tillwatch.llm.shared import stored
-
     found = stored(simhash.edited_fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
     sizes = found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
     queries = found.filter("doc_id % 100 = 0").select("fingerprint").distinct()
@@ -98,6 +100,12 @@ def conversation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(conversations.damaged(given), given, digests=True)
 
 
+def token_output_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), folder, end_id=END_ID)
+    return token_files.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding_query,
     "op2_lm_scoring": lm_scoring_query,
@@ -111,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": jaccard_query,
     "op11_filter_audit": filter_audit_query,
     "op12_conversation_repair": conversation_query,
+    "op13_token_output": token_output_query,
 }
 
 
