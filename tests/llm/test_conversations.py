@@ -190,3 +190,16 @@ def test_empty_and_dropped(spark):
     assert repaired(frame(spark, [])) == {}
     gone = next(k for k in range(1_000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
     assert repaired(frame(spark, [(gone, 0, "user", "a.")])) == {gone: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+def test_sql_on_hard_rows(spark, tmp_path):
+    import duckdb
+
+    from tillwatch.llm import queries
+
+    rows = [r for r in conversations() if r[0] not in (1_000, 9)]
+    con = duckdb.connect()
+    frame(spark, rows).coalesce(1).write.parquet(str(tmp_path / "c"))
+    con.execute(f"create view conversations as select * from '{tmp_path}/c/*.parquet'")
+    found = con.execute(queries.ORACLES["op12_conversation_repair"]).fetchall()
+    assert {r[0]: tuple(r[1:]) for r in found} == plain(rows)

@@ -247,4 +247,79 @@ sums as (
 select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        (sum(removed) over (partition by part, k))::bigint as shapley
 from sums""",
+    "op12_conversation_repair": """
+with recursive crc as (
+  select list(v order by n) as t
+  from (select n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) r(n))
+),
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+           string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ord(x)::bigint)),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 as roll
+  from conversations, crc
+),
+rows as (
+  select conv_id, turn, case when roll = 4 then 'user' else role end as role,
+         case roll when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from given, range(2) c(k) where roll <> 0 and (k = 0 or roll = 3)
+),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i,
+         row_number() over (partition by conv_id, role, text order by turn nulls first) as nth,
+         right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as ending
+  from rows
+),
+faults as (
+  select conv_id, i, turn, role, text, left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as before,
+         case when ending = '' then 'b' when nth > 1 then 'd' when ending not in ('.', '!', '?') then 't' else '' end as fault
+  from placed
+),
+conv as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+         count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated,
+         count(*) filter (before || initial not in ('su', 'ua', 'au')) as illegal,
+         list(case when fault in ('b', 'd') then '-' when initial in ('s', 'u', 'a') then initial else 'x' end order by i) as codes,
+         list(case when fault = 't' then 3 else 0 end order by i) as cuts,
+         list({'role': role, 'text': text} order by i) as turns
+  from faults group by conv_id
+),
+walk(conv_id, i, w0, w1, w2, w3) as (
+  select conv_id, 0, {'c': 0, 'a': ''}, {'c': 1000000000, 'a': ''}, {'c': 3, 'a': 'I'}, {'c': 6, 'a': 'II'} from conv
+  union all
+  select conv_id, i, w0, w1, w2, list_min([w3, {'c': w2.c + 3, 'a': w2.a || 'I'}])
+  from (
+    select conv_id, i, w0, w1,
+           list_min([w2, {'c': w0.c + 3, 'a': w0.a || 'I'}, {'c': w1.c + 3, 'a': w1.a || 'I'}, {'c': w3.c + 3, 'a': w3.a || 'I'}]) as w2, w3
+    from (
+      select conv_id, i + 1 as i, {'c': w0.c + 4, 'a': w0.a || 'D'} as w0,
+             list_min([{'c': w1.c + 4, 'a': w1.a || 'D'}, {'c': w0.c + cut + case when x = 's' then 0 else 1000000000 end, 'a': w0.a || 'K'}]) as w1,
+             list_min([{'c': w2.c + 4, 'a': w2.a || 'D'}, {'c': w0.c + asu, 'a': w0.a || eu}, {'c': w1.c + asu, 'a': w1.a || eu}, {'c': w3.c + asu, 'a': w3.a || eu}]) as w2,
+             list_min([{'c': w3.c + 4, 'a': w3.a || 'D'}, {'c': w2.c + asa, 'a': w2.a || ea}]) as w3
+      from (
+        select w.*, codes[w.i + 1] as x, cuts[w.i + 1] as cut,
+               case codes[w.i + 1] when '-' then 1000000000 when 'u' then 0 else 3 end + cuts[w.i + 1] as asu, case codes[w.i + 1] when 'u' then 'K' else 'R' end as eu,
+               case codes[w.i + 1] when '-' then 1000000000 when 'a' then 0 else 3 end + cuts[w.i + 1] as asa, case codes[w.i + 1] when 'a' then 'K' else 'R' end as ea
+        from walk w join conv c on w.conv_id is not distinct from c.conv_id where w.i < len(codes)
+      )
+    )
+  )
+),
+ends as (
+  select c.conv_id, gaps, blank, duplicate, truncated, illegal, turns, list_min([w0, w3]) as way
+  from walk w join conv c on w.conv_id is not distinct from c.conv_id where w.i = len(codes)
+),
+repaired as (
+  select *, list_reduce(string_split(way.a, ''), lambda s, e: case
+      when e = 'D' then {'at': s.at + 1, 'u': s.u, 'out': s.out}
+      when e = 'K' then {'at': s.at + 1, 'u': left(turns[s.at].role, 1) = 'u', 'out': list_append(s.out, turns[s.at].role || ':' || turns[s.at].text)}
+      when e = 'R' then {'at': s.at + 1, 'u': not s.u, 'out': list_append(s.out, case when s.u then 'assistant' else 'user' end || ':' || turns[s.at].text)}
+      else {'at': s.at, 'u': not s.u, 'out': list_append(s.out, case when s.u then 'assistant' else 'user' end || ':')} end,
+    {'at': 1, 'u': false, 'out': []::varchar[]}) as s
+  from ends
+)
+select g.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(way.c, 0)::bigint as cost,
+       coalesce(way.a, '') as audit, sha256(coalesce(array_to_string(s.out, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) g left join repaired r on g.conv_id is not distinct from r.conv_id""",
 }
