@@ -265,10 +265,9 @@ rows as (
   from given, range(2) c(k) where roll <> 0 and (k = 0 or roll = 3)
 ),
 placed as (
-  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i,
-         row_number() over (partition by conv_id, role, text order by turn nulls first) as nth,
+  select *, row_number() over (partition by conv_id, role, text order by i) as nth,
          right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as ending
-  from rows
+  from (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i from rows)
 ),
 faults as (
   select conv_id, i, turn, role, text, left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as before,
