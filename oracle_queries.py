@@ -229,8 +229,8 @@ from (select * from steps
 _STORED_DIFFS = DIFFS.replace(
     DIFFS[DIFFS.index("steps as ("):DIFFS.index("added as (")],
     """steps as (select source_name, max(snapshot_at) as checked_at,
-  max(snapshot_at) filter (where snapshot_at < timestamp '2024-01-25 00:00:00') as before
-  from taken group by source_name),
+  max(snapshot_at) filter (where snapshot_at < newest) as before
+  from (select *, max(snapshot_at) over (partition by source_name) as newest from taken) group by source_name),
 """)
 _DIFF_COLUMNS = "source_name, checked_at, has_changes, is_breaking, added, removed, type_changed"
 
@@ -284,10 +284,11 @@ ORACLES = {
         when _n % 223 = 4 then 'bad_time' else 'accepted' end as outcome, count(*) as messages
         from raw group by 1""",
     "ingest_above_watermark": f"""with {RAW} select {_RAW_COLUMNS} from raw
-        where tx_at > (select max(tx_at) from raw where _ts < timestamp '2024-01-20')""",
-    "insert_if_absent": f"""with {RAW} select {_RAW_COLUMNS} from raw
-        where tx_id is not null and _ts >= timestamp '2024-01-10' and tx_id not in (
-        select tx_id from raw where tx_id is not null and _ts < timestamp '2024-01-20')""",
+        where tx_at > (select max(tx_at) from raw where 2 * _n < (select max(_n) from raw))""",
+    "insert_if_absent": f"""with {RAW}, arrived as (
+        select * replace (case when _n % 7 = 3 then tx_at - interval 1 hour else tx_at end as tx_at) from raw)
+        select {_RAW_COLUMNS} from arrived where tx_id is not null and tx_id not in (
+        select tx_id from raw where tx_id is not null and 2 * _n < (select max(_n) from raw))""",
     "stg_transactions": f"with {STG} select * replace (cast(amount as double) as amount) from stg",
     "int_merchant_revenue": f"""with {INT_MR} select tx_date, merchant, country_code, tx_count,
         unique_users, cast(revenue as double) as total_revenue_vnd,

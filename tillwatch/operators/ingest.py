@@ -13,8 +13,9 @@ DEFAULT_IS_FRAUD = False
 
 
 def with_defaults(parsed: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Parsed messages in the raw table's types, with its column defaults."""
+    """Parsed messages in the raw table's types, with its column defaults; ``arrival`` is kept."""
     return parsed.select(
+        *(["arrival"] if "arrival" in parsed.columns else []),
         "tx_id",
         "user_id",
         "merchant",
@@ -44,27 +45,34 @@ def above_mark(incoming: DataFrame, table: DataFrame) -> DataFrame:
     return incoming.filter(mark.isNull() | (F.col("tx_at") > mark))
 
 
-def first_per_key(incoming: DataFrame, key: str = "tx_id", arrival: str = "tx_at") -> DataFrame:
-    """One row per key: the earliest by ``arrival`` (then by the other columns); a copy without
-    one comes last.  Null keys drop.
+def first_per_key(incoming: DataFrame, key: str = "tx_id", arrival: str | None = None) -> DataFrame:
+    """One row per key, the first to arrive.  Null keys drop.
+
+    ``arrival`` is any orderable column, by default the source position ``arrival``
+    (:func:`tillwatch.sources.messages.positioned`) if there is one, else the event time ``tx_at``.
+    A copy without one comes last; ties fall to the event time and the other columns.
 
     An aggregate rather than a ranking: copies of one key collapse before the shuffle.
     """
     columns = incoming.columns
-    ordered = [arrival] + [c for c in columns if c not in (key, arrival)]
+    arrival = arrival or ("arrival" if "arrival" in columns else "tx_at")
+    ties = [c for c in ("tx_at",) if c in columns and c != arrival]
+    ordered = [arrival] + ties + [c for c in columns if c not in (key, arrival, *ties)]
+    late = [F.col(c).isNull().alias(f"_late_{c}") for c in (arrival, *ties)]
     return (
         incoming.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(F.struct(F.col(arrival).isNull().alias("_late"), *ordered)).alias("_row"))
+        .agg(F.min(F.struct(late[0], arrival, *late[1:], *ordered[1:])).alias("_row"))
         .select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in columns])
     )
 
 
 def insert_if_absent(incoming: DataFrame, table: DataFrame, key: str = "tx_id",
-                     arrival: str = "tx_at") -> DataFrame:
-    """The rows to append: one per new key.
+                     arrival: str | None = None) -> DataFrame:
+    """The rows to append: one per new key, the first to arrive.
 
     Only the table's key column is read.  Bucket the stored table by the key
-    (:func:`tillwatch.sources.tables.append_bucketed`) to keep its side of the join in place.
+    (:func:`tillwatch.sources.tables.append_bucketed`) to keep its side of the join in place; a stream
+    asks an index instead (:class:`tillwatch.sources.key_index.KeyIndex`).
     """
     return first_per_key(incoming, key, arrival).join(table.select(key), key, "left_anti")

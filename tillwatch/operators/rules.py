@@ -288,7 +288,8 @@ def _median_hot(df: DataFrame, window: str, slide: str) -> DataFrame:
     return df.join(per_slot, ["user_id", "_slot_m"], "left").drop("_slot_m")
 
 
-def _spike(df: DataFrame, round_before_compare: bool) -> DataFrame:
+def amount_points(df: DataFrame, round_before_compare: bool = False) -> DataFrame:
+    """``user_median_amount``, ``amount_ratio`` and ``amount_spike_flag`` from ``_median``, the lowest usable one."""
     amount = F.col("amount").cast("double")
     no_ratio = F.col("_median") == float("inf")
     df = df.withColumn(
@@ -309,7 +310,7 @@ def amount_spike(df: DataFrame, window: str = "24 hours", slide: str = "1 hour",
 
     The unrounded ratio is compared unless ``round_before_compare``.
     """
-    return _spike(_by_user_size(
+    return amount_points(_by_user_size(
         df,
         lambda d: _median_small(d, window, slide, _median_accuracy(hot_user_rows)),
         lambda d: _median_hot(d, window, slide),
@@ -479,7 +480,7 @@ def score_transactions(df: DataFrame, velocity_window: str = "60 seconds",
         return _geo_hot(d, geo_within)
 
     ruled = _by_user_size(df, small, hot, hot_user_rows)
-    return combine_scores(_spike(velocity_points(ruled), round_before_compare))
+    return combine_scores(amount_points(velocity_points(ruled), round_before_compare))
 
 
 def flagged_transactions(scored: DataFrame) -> DataFrame:

@@ -148,19 +148,27 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.withColumn("tx_at", as_utc(F.col("tx_at")))
 
 
-def _since(df: DataFrame, day: str) -> DataFrame:
-    return df.filter(F.col("ts") >= at(day))
+def _first_half(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of the lower half of the ids."""
+    rows = events(spark, sf)
+    return rows.filter(F.col("event_id") * 2 < rows.agg(F.max("event_id")).scalar())
 
 
 def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw table as it stood before 20 January."""
-    return raw_transactions(events(spark, sf).filter(F.col("ts") < at("2024-01-20")))
+    """The raw table with the first half of the events."""
+    return raw_transactions(_first_half(spark, sf))
 
 
-def _replayed(spark: SparkSession, sf: str) -> DataFrame:
-    """Everything from 10 January on, delivered twice."""
-    once = raw_transactions(_since(events(spark, sf), "2024-01-10"))
-    return once.unionByName(once)
+def _delivered(spark: SparkSession, sf: str) -> DataFrame:
+    """Every transaction twice, the copy with a time one hour earlier; it arrives later, but for each
+    seventh event before the original."""
+    once = raw_transactions(events(spark, sf), keep=["event_id"])
+    first = F.col("event_id") % 7 == 3
+    copy = once.withColumn("tx_at", F.col("tx_at") - F.expr("interval 1 hour"))
+    place = F.col("event_id") * 2
+    both = once.withColumn("arrival", place + F.when(first, 1).otherwise(0)).unionByName(
+        copy.withColumn("arrival", place + F.when(first, 0).otherwise(1)))
+    return both.drop("event_id")
 
 
 def _watched_freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,10 +207,11 @@ def _read_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """The newest snapshot of each source against the newest one stored before 25 January."""
+    """The newest snapshot of each source against all that were stored before it."""
     history = schema_history(spark, sf)
-    stored = history.filter(F.col("snapshot_at") < at("2024-01-25"))
-    return diff_text(observe.diff_snapshots(observe.latest_snapshot(history), stored, at(NOW)))
+    newest = observe.latest_snapshot(history)
+    stored = history.join(newest.select("source_name", "snapshot_at").distinct(), ["source_name", "snapshot_at"], "left_anti")
+    return diff_text(observe.diff_snapshots(newest, stored, at(NOW)))
 
 
 def _debt(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,7 +231,7 @@ def queries() -> dict[str, Query]:
         "ingest_above_watermark":
             lambda s, sf: d(ingest.above_mark(raw(s, sf), _stored(s, sf))),
         "insert_if_absent":
-            lambda s, sf: d(ingest.insert_if_absent(_replayed(s, sf), _stored(s, sf))),
+            lambda s, sf: d(ingest.insert_if_absent(_delivered(s, sf), _stored(s, sf)).drop("arrival")),
         # staging and models
         "stg_transactions": lambda s, sf: d(staged(s, sf)),
         "int_merchant_revenue": lambda s, sf: d(merchant_revenue(s, sf)),

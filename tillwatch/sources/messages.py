@@ -11,6 +11,9 @@ BAD_JSON = "bad_json"
 MISSING_KEY = "missing_key"
 BAD_TIME = "bad_time"
 
+FILE_PLACE = ["file_modification_time", "file_path", "file_block_start"]
+ARRIVAL = "struct<written: timestamp, source: string, place: bigint, line: bigint>"
+
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
                  max_per_trigger: int = 1000) -> DataFrame:
@@ -37,9 +40,14 @@ def kafka_replay(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     )
 
 
+def _lines(text: DataFrame) -> DataFrame:
+    """``value`` and where the line stands, for :func:`positioned`."""
+    return text.select("value", *[F.col(f"_metadata.{c}").alias(c) for c in FILE_PLACE])
+
+
 def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
     """Text files, one JSON message per line, as a stream with a ``value`` column."""
-    return (
+    return _lines(
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", max_files)
         .load(path)
@@ -47,7 +55,25 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
 
 
 def file_replay(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    return _lines(spark.read.text(path))
+
+
+def positioned(messages: DataFrame) -> DataFrame:
+    """``value`` and ``arrival``, the message's place in its source, where the source has one.
+
+    A topic's order is (topic and partition, offset); files are taken in the order they were written,
+    their lines in order (lines of one block are one task's, in order, so a running number tells them
+    apart).  A batch only: in a stream, apply it to the micro-batch.  A message of neither has no arrival.
+    """
+    have = set(messages.columns)
+    none = F.lit(None)
+    if {"topic", "partition", "offset"} <= have:
+        place = (none, F.concat_ws("/", "topic", F.col("partition").cast("string")), F.col("offset"), F.lit(0))
+    elif set(FILE_PLACE) <= have:
+        place = (F.col("file_modification_time"), F.col("file_path"), F.col("file_block_start"), F.monotonically_increasing_id())
+    else:
+        return messages.select("value", none.cast(ARRIVAL).alias("arrival"))
+    return messages.select("value", F.struct(*place).cast(ARRIVAL).alias("arrival"))
 
 
 def json_columns(messages: DataFrame, schema: str, options: dict | None = None, *keep: Column
@@ -70,12 +96,13 @@ def decode(messages: DataFrame) -> DataFrame:
     """``value`` -> payload columns plus ``tx_time`` (parsed tx_at) and ``reject_reason``.
 
     ``reject_reason`` is null for a usable message.  A field of the wrong type only nulls that
-    field; a value that is not a JSON object is ``bad_json``.
+    field; a value that is not a JSON object is ``bad_json``.  ``arrival`` is carried along.
     """
+    arrival = [F.col("arrival")] if "arrival" in messages.columns else []
     decoded = json_columns(
         messages, TX_PAYLOAD + ", _corrupt string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
-        F.col("value").cast("string").alias("value"),
+        F.col("value").cast("string").alias("value"), *arrival,
     ).withColumn("tx_time", _iso_time(F.col("tx_at")))
     no_key = [F.col(c).isNull() for c in ("tx_id", "user_id", "tx_at")]
     reason = (

@@ -1,11 +1,12 @@
-"""Stored tables: partitioned parquet, append-only history, bucketed raw transactions."""
+"""Stored tables: partitioned parquet, append-only history, bucketed raw transactions.
+
+Micro-batches of streams are in :mod:`tillwatch.sources.batches`.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 
 def read_or_empty(spark: SparkSession, table: str, schema: str) -> DataFrame:
@@ -46,33 +47,3 @@ def overwrite_table(rows: DataFrame, table: str, partition_by: str | None = None
 def run_of(spark: SparkSession) -> str:
     """The running streaming query's id, which lives in its checkpoint; batch ids count from 0 in each."""
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
-
-
-def overwrite_batch(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
-    """Write one micro-batch into a folder of its own; a retried batch of the same run replaces itself."""
-    rows.drop("batch_id").write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
-
-
-def read_batches(spark: SparkSession, path: str, schema: str, run: bool = False) -> DataFrame:
-    """All micro-batches below ``path``, none while it is missing; ``batch_id`` (and, if wanted,
-    ``run``) come from the folder names."""
-    declared = StructType.fromDDL(schema)
-    names = declared.names + ["run"] * run
-    placed = StructType([*declared, StructField("run", StringType())])
-    try:
-        return spark.read.schema(placed).parquet(path).select(*names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], placed).select(*names)
-
-
-def read_batch(spark: SparkSession, path: str, schema: str, run: str, batch_id: int) -> DataFrame | None:
-    """One micro-batch below ``path`` without listing the others; None if it is not there."""
-    declared = StructType.fromDDL(schema)
-    inside = StructType([f for f in declared if f.name != "batch_id"])
-    try:
-        rows = spark.read.schema(inside).parquet(f"{path}/run={run}/batch_id={batch_id}")
-    except AnalysisException:
-        return None
-    return rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*declared.names)

@@ -1,5 +1,5 @@
-"""foreachBatch sinks.  Outputs are keyed by run and batch id: a retried batch replaces what it wrote,
-and a new checkpoint, whose batch ids start again, adds to what is there."""
+"""foreachBatch sinks.  Outputs are batch tables keyed by run and batch id: a retried batch replaces what
+it wrote, and a new checkpoint, whose batch ids start again, adds to what is there."""
 
 from __future__ import annotations
 
@@ -15,14 +15,21 @@ from tillwatch.functions.timegrid import as_utc
 from tillwatch.operators import alerts as al
 from tillwatch.operators import ingest
 from tillwatch.schemas import ALERTS, BREAKER_LOG, RAW_TRANSACTIONS
-from tillwatch.sources.messages import split_dead_letters
-from tillwatch.sources.tables import overwrite_batch, read_batch, read_batches, run_of
+from tillwatch.sources.batches import FAN, BatchTable, covers
+from tillwatch.sources.key_index import KeyIndex
+from tillwatch.sources.messages import positioned, split_dead_letters
 
 Publish = Callable[[DataFrame, int], None]
 
 # Fixed value: time between micro-batches.
 TRIGGER = "5 seconds"
 STORED = RAW_TRANSACTIONS + ", batch_id bigint"
+DEAD_LETTERS = "value string, reject_reason string, batch_id bigint"
+
+
+def run_of(spark: SparkSession) -> str:
+    """The running streaming query's id, which lives in its checkpoint; batch ids count from 0 in each."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
 def publish_to_kafka(servers: str, topic: str) -> Publish:
@@ -52,10 +59,10 @@ class AlertSink:
 
     def __init__(self, root: str, publish: Publish,
                  now: Callable[[], Column] = lambda: as_utc(F.current_timestamp()),
-                 threshold: float = al.BREAKER_RATE, hold_seconds: int = al.BREAKER_SECONDS
-                 ) -> None:
-        self.alerts_path = f"{root}/alerts"
-        self.log_path = f"{root}/breaker_log"
+                 threshold: float = al.BREAKER_RATE, hold_seconds: int = al.BREAKER_SECONDS,
+                 fan: int = FAN) -> None:
+        self._alerts = BatchTable(f"{root}/alerts", ALERTS, fan)
+        self._log = BatchTable(f"{root}/breaker_log", BREAKER_LOG, fan)
         self.publish, self.now = publish, now
         self.threshold, self.hold_seconds = threshold, hold_seconds
 
@@ -76,9 +83,9 @@ class AlertSink:
             log = spark.createDataFrame(
                 [(batch_id, total, flagged, rate, tripped, held)], BREAKER_LOG
             )
-            overwrite_batch(log.coalesce(1), self.log_path, run, batch_id)
+            self._log.write(log.coalesce(1), run, batch_id)
             alerts = al.to_alerts(scored.filter("is_flagged"), F.lit(batch_id))
-            overwrite_batch(alerts, self.alerts_path, run, batch_id)
+            self._alerts.write(alerts, run, batch_id)
             if flagged and (held is None or held <= now):
                 self.publish(al.alert_payload(alerts), batch_id)
         finally:
@@ -86,51 +93,76 @@ class AlertSink:
 
     def _hold_before(self, spark: SparkSession, run: str, batch_id: int):
         """The hold in force: from the row of the batch before, or at a run's start the latest of all."""
-        before = read_batch(spark, self.log_path, BREAKER_LOG, run, batch_id - 1)
+        before = self._log.read_batch(spark, run, batch_id - 1)
         if before is not None:
             return before.select("flag_until").first()["flag_until"]
-        log = read_batches(spark, self.log_path, BREAKER_LOG, run=True)
+        log = self._log.read(spark, run=True)
         own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
         return log.filter(~own).agg(F.max("flag_until").alias("held")).first()["held"]
 
     def alerts(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.alerts_path, ALERTS)
+        return self._alerts.read(spark)
 
     def breaker_log(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.log_path, BREAKER_LOG)
+        return self._log.read(spark)
 
 
 class IngestSink:
     """Message sink: new transactions to one table, dead letters to another.
 
-    Only the key column of stored batches is read, and a batch is compared with all but itself, so
-    replaying a batch, a file or, under a new checkpoint, the whole input changes nothing.
+    Of copies the first to arrive is kept.  Which keys are stored an index tells, which opens only the
+    files that may hold a batch's keys; a batch is compared with all but itself, so replaying a batch, a
+    file or, under a new checkpoint, the whole input changes nothing.  The high-water mark is in the
+    table's manifest.
     """
 
-    def __init__(self, root: str, use_mark: bool = False) -> None:
-        self.table_path = f"{root}/raw_transactions"
-        self.dead_path = f"{root}/dead_letters"
+    def __init__(self, root: str, use_mark: bool = False, fan: int = FAN) -> None:
+        self._table = BatchTable(f"{root}/raw_transactions", STORED, fan, self._latest)
+        self._dead = BatchTable(f"{root}/dead_letters", DEAD_LETTERS, fan)
+        self.index = KeyIndex(f"{root}/raw_keys", "tx_id", fan)
         self.use_mark = use_mark
 
+    @staticmethod
+    def _latest(stats: list[dict]) -> dict:
+        return {"mark": max((s["mark"] for s in stats if s["mark"]), default=None)}
+
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        good, dead = split_dead_letters(messages)
-        incoming = ingest.with_defaults(good)
         spark = messages.sparkSession
         run = run_of(spark)
-        stored = read_batches(spark, self.table_path, STORED, run=True)
-        stored = stored.filter((F.col("run") != run) | (F.col("batch_id") != batch_id)).drop("run")
+        good, dead = split_dead_letters(positioned(messages))
+        incoming = ingest.with_defaults(good)
+        self._index_all(spark, run, batch_id)
         if self.use_mark:
-            incoming = ingest.above_mark(incoming, stored)
-        new = ingest.insert_if_absent(incoming, stored)
-        overwrite_batch(new, self.table_path, run, batch_id)
-        overwrite_batch(dead, self.dead_path, run, batch_id)
+            mark = self._latest([e["stats"] for e in self._table.entries(spark)
+                                 if e["tier"] or not covers(e, run, batch_id)])["mark"]
+            if mark is not None:
+                incoming = incoming.filter(F.col("tx_at") > F.lit(mark).cast("timestamp_ntz"))
+        first = ingest.first_per_key(incoming).drop("arrival").persist()
+        try:
+            new = self.index.absent(first, run, batch_id)
+            self._table.write(new, run, batch_id, lambda rows: rows.agg(
+                F.max("tx_at").cast("string").alias("mark")).first().asDict())
+        finally:
+            first.unpersist()
+        self._index(spark, run, batch_id)
+        self._dead.write(dead, run, batch_id)
+
+    def _index(self, spark: SparkSession, run: str, batch_id: int) -> None:
+        keys = self._table.read_batch(spark, run, batch_id).select("tx_id")
+        self.index.write(keys, run, batch_id, lambda rows: {"keys": rows.count()})
+
+    def _index_all(self, spark: SparkSession, run: str, batch_id: int) -> None:
+        """Index what a run stored just before it was stopped; its batch is still the run's newest."""
+        for entry in self._table.entries(spark):
+            (r, _, last), *_ = entry["spans"]
+            if not entry["tier"] and (r, last) != (run, batch_id) and not self.index.has(spark, r, last):
+                self._index(spark, r, last)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.table_path, STORED)
+        return self._table.read(spark)
 
     def dead_letters(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.dead_path,
-                            "value string, reject_reason string, batch_id bigint")
+        return self._dead.read(spark)
 
 
 def start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
