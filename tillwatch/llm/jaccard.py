@@ -159,7 +159,7 @@ def _sizes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             _, counts = feature_sets(words, k)
             bounds, n = words.bounds, j - i
             digest = spans_hash(words.hashes(), bounds[:-1], bounds[1:])
-            other = spans_hash(mix(words.hashes() + _U(3)), bounds[:-1], bounds[1:])
+            other = spans_hash(words.hashes(1), bounds[:-1], bounds[1:], 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(i, n), pa.array(counts.astype(np.int64)), pa.array(digest.view(np.int64)), pa.array(other.view(np.int64))],
                 names=["doc_id", "n_shingles", "digest", "other"],
@@ -240,9 +240,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     source = source.join(small(copies.select(F.col("b").alias("doc_id")).distinct()), "doc_id", "left_anti")
     join, bands = _Join(source, shingle, percent), Bands(percent)
     signed = source.mapInArrow(lambda b: _sign(b, shingle, bands), "sign long, doc_id long, role int, spare int")
-    held = signed.groupBy("sign").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("x"), F.max("doc_id").alias("z"), F.sum("doc_id").alias("total"))
+    held = signed.groupBy("sign").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("x"), F.max("doc_id").alias("z"), F.bit_xor("doc_id").alias("all"))
     groups = stored(held.filter("n > 1"), "groups")
-    few = groups.filter(F.col("n") <= FEW).withColumn("y", F.when(F.col("n") == 3, F.col("total") - F.col("x") - F.col("z")))
+    few = groups.filter(F.col("n") <= FEW).withColumn("y", F.when(F.col("n") == 3, F.col("all").bitwiseXOR(F.col("x")).bitwiseXOR(F.col("z"))))
 
     # sets that lack signatures of their own once the crowded ones are left out
     many = groups.filter(F.col("n") > FEW).select("sign")
@@ -270,7 +270,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # 1: strong pairs, and crowded sets with the head of most of their signatures
     heads = crowded.groupBy("sign").agg(F.min("doc_id").alias("a"))
     met = crowded.join(heads, "sign").filter("a < doc_id").groupBy("doc_id", "a").agg(F.count(F.lit(1)).alias("n"))
-    met = met.groupBy(F.col("doc_id").alias("b")).agg(F.max(F.struct("n", -F.col("a"), "a")).alias("m")).select("m.a", "b")
+    met = met.groupBy(F.col("doc_id").alias("b")).agg(F.max(F.struct("n", F.bitwise_not("a"), "a")).alias("m")).select("m.a", "b")
     first = stored(pairs.filter("strong").select("a", "b").unionByName(met).distinct(), "first")
     links = copies.unionByName(join.links(first))
     found = stored(components(links), "components")

@@ -1,13 +1,15 @@
 """Words of whole texts as numpy arrays: byte positions, 64-bit hashes and hashes of word runs.
 
 Texts come as Arrow columns and are taken in slices of about SLICE bytes, so memory is bounded by a
-slice or by the longest single text.  Word hashes are polynomials over byte codes, taken from prefix
-sums modulo 2**64, and then mixed; a hash finds candidates or stands for a word run of a set, and the
-operators say where texts themselves are compared.
+slice or by the longest single text.  A word's hash mixes its bytes eight at a time (long words are digested
+one by one), a word sequence's is a polynomial of its words' hashes modulo a prime, from prefix sums; both
+come in two families without common constants.  A hash finds candidates or stands for a word run of a
+set, and the operators say where texts themselves are compared.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,30 +34,54 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
-_BASE = 0xD1342543DE82EF95
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: a prime; sums of words are taken modulo it
+_PRIME = (1 << 61) - 1
+_BASES = (0x1D3F84A5B6C7E91, 0x0B7A3D2C94E65F17 & _PRIME)
+#: two families of hashes that share no constant
+_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_STEPS = (0xD1342543DE82EF95, 0xA0761D6478BD642F)
+#: longer words are hashed one by one
+_LONG = 64
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    x = (x & _U(_PRIME)) + (x >> _U(61))
+    return np.where(x >= _U(_PRIME), x - _U(_PRIME), x)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, both below it."""
+    a_low, a_high, b_low, b_high = a & _U(0x7FFFFFFF), a >> _U(31), b & _U(0x7FFFFFFF), b >> _U(31)
+    middle = a_low * b_high + a_high * b_low
+    return _modulo((a_high * b_high << _U(1)) + (middle >> _U(30)) + ((middle & _U(0x3FFFFFFF)) << _U(31)) + a_low * b_low)
+
+
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
+    """base**0 .. base**(n-1) modulo the prime."""
     known = _powers.get(base)
     if known is None or len(known) < n:
-        known = np.full(max(n, SLICE + 1), base, np.uint64)
-        known[0] = 1
-        np.multiply.accumulate(known, out=known)
-        if n <= 2 * SLICE:
+        known = np.ones(1, np.uint64)
+        while len(known) < max(n, SLICE // 4):
+            known = np.concatenate([known, _product(known, np.uint64(pow(base, len(known), _PRIME)))])
+        if n <= SLICE:
             _powers[base] = known
     return known[:n]
 
 
-def spans_hash(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hash of codes[first:last] for each pair, whatever its place."""
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * powers(_BASE, len(codes)), out=sums[1:])
-    found = (sums[last] - sums[first]) * powers(_INVERSE, len(codes) + 1)[first]
-    return mix(found + (last - first).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+def spans_hash(values: np.ndarray, first: np.ndarray, last: np.ndarray, family: int = 0) -> np.ndarray:
+    """Hash of values[first:last] for each pair, whatever its place: a polynomial modulo the prime."""
+    base = _BASES[family]
+    terms = _product(_modulo(values), powers(base, len(values)))
+    low, high = np.zeros(len(values) + 1, np.uint64), np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(terms & _U(0x7FFFFFFF), out=low[1:])
+    np.cumsum(terms >> _U(31), out=high[1:])
+    found = _modulo(_product(_modulo(high[last] - high[first]), np.full(1, 1 << 31, np.uint64)) + _modulo(low[last] - low[first]))
+    found = _product(found, powers(pow(base, -1, _PRIME), len(values) + 1)[first])
+    return mix(found + (last - first).astype(np.uint64) * _U(_SEEDS[family]))
 
 
 class Words:
@@ -76,8 +102,21 @@ class Words:
         self.bounds = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.bounds)
 
-    def hashes(self) -> np.ndarray:
-        return spans_hash(_CODES[self.data], self.starts, self.ends)
+    def hashes(self, family: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word: eight bytes at a time, mixed after each, so that no pattern of bytes cancels out."""
+        size = self.ends - self.starts
+        found = mix(size.astype(np.uint64) + _U(_SEEDS[family]))
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+        which, at, left = slice(None), self.starts, size
+        for _ in range(0, min(int(size.max(initial=0)), _LONG), 8):
+            found[which] = mix((found[which] ^ (eight[at] & _MASKS[np.minimum(left, 8)])) * _U(_STEPS[family]))
+            more = np.flatnonzero(left > 8)
+            which = more if isinstance(which, slice) else which[more]
+            at, left = at[more] + 8, left[more] - 8
+        for i in np.flatnonzero(size > _LONG).tolist():
+            found[i] = int.from_bytes(hashlib.blake2b(self.word(i), digest_size=8, key=bytes([family])).digest(), "little")
+        return found
 
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
