@@ -2,8 +2,8 @@
 
 A profile lists the most frequent letter n-grams (one to three) of a language by rank; a document's
 own list is compared to each by the sum of rank differences, where a missing n-gram costs the profile
-length.  n-grams run over lower-cased bytes within words, with one blank at a word's ends; bytes
-beyond ASCII stand for themselves, so UTF-8 letters need no table.  Profiles are counted over all
+length.  n-grams run over the UTF-8 bytes of the lower-cased text (all scripts), within words, with one
+blank at a word's ends; bytes beyond ASCII stand for themselves.  Profiles are counted over all
 training rows; what is broadcast is languages * PROFILE ranks.
 
 Defined results: a text that is null or has no letter is `und` with score 0, as is every text if
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,16 +28,12 @@ PROFILE = 400
 #: n-grams gathered in a task before they are summed (16 bytes each)
 GATHER = 500_000
 _B = np.arange(256)
-_CODE = np.where((_B >= 97) & (_B <= 122), _B - 96, np.where((_B >= 65) & (_B <= 90), _B - 64, np.where(_B >= 128, 32 + (_B - 128) % 96, 0))).astype(np.int32)
+#: lower-case letters and all bytes beyond ASCII stand for themselves
+_CODE = np.where(((_B >= 97) & (_B <= 122)) | (_B >= 128), _B, np.where((_B >= 65) & (_B <= 90), _B + 32, 0)).astype(np.int32)
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """n-gram codes, three for each letter and one more at a word's start, and their text."""
-    # É to é: second bytes of two-byte capitals
-    if len(data) > 1 and (data >= 0xC3).any():
-        data = data.copy()
-        capital = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
-        data[capital] += 0x20
     code = _CODE[data]
     before, after = np.zeros_like(code), np.zeros_like(code)
     before[1:], after[:-1] = code[:-1], code[1:]
@@ -46,7 +43,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     a, b, c = before[at], code[at], after[at]
     text = np.searchsorted(offsets, at, "right") - 1
     start = np.flatnonzero(a == 0)
-    found = np.concatenate([a << 14 | b << 7 | c, 1 << 21 | b << 7 | c, 1 << 22 | b, 1 << 21 | b[start]])
+    found = np.concatenate([a << 16 | b << 8 | c, 1 << 24 | b << 8 | c, 1 << 25 | b, 1 << 24 | b[start]])
     return found, np.concatenate([text, text, text, text[start]])
 
 
@@ -69,7 +66,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
-        for i, j, data, offsets in slices(batch.column("text")):
+        for i, j, data, offsets in slices(pc.utf8_lower(batch.column("text"))):
             codes, text = grams(data, offsets)
             names, which = np.unique(langs[i:j].astype(str), return_inverse=True)
             for k, name in enumerate(names.tolist()):
@@ -111,7 +108,7 @@ def _predict(batches: Iterator[pa.RecordBatch], profiles: tuple, size: int) -> I
     for batch in batches:
         langs, scores = [], []
         texts = batch.column("text")
-        for i, j, data, offsets in slices(texts):
+        for i, j, data, offsets in slices(pc.utf8_lower(texts)):
             codes, text = grams(data, offsets)
             order = np.argsort(text, kind="stable")
             codes, bounds = codes[order], np.searchsorted(text[order], np.arange(j - i + 1))
