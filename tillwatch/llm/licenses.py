@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -52,6 +53,13 @@ CHARS_PER_ERROR = 12
 SPANS = "array<struct<label:string,first:int,last:int,errors:int>>"
 
 
+def word_numbers(text: bytes, places: list[int]) -> list[int]:
+    """How many spaces stand before each place, the text looked through once."""
+    if not places:
+        return []
+    return np.searchsorted(np.flatnonzero(np.frombuffer(text, np.uint8) == 32), places).tolist()
+
+
 class Scanner:
     def __init__(self, notices: dict[str, str] = NOTICES, phrases: dict[str, str] = PHRASES, chars_per_error: int = CHARS_PER_ERROR):
         self.phrases = [(b" " + p.encode() + b" ", label, p.count(" ") + 1) for p, label in phrases.items()]
@@ -74,9 +82,10 @@ class Scanner:
         for phrase, label, _ in self.phrases:
             at = text.find(phrase)
             while at >= 0:
-                found.append((text.count(b" ", 0, at), label))
+                found.append((at, label))
                 at = text.find(phrase, at + 1)
-        return sorted(found)
+        words = word_numbers(text, [at for at, _ in found])
+        return sorted((w, label) for w, (_, label) in zip(words, found))
 
     def fuzzy(self, text: bytes) -> list[tuple[str, int, int, int]]:
         """(label, first word, after the last, errors) of notices with bounded errors."""
@@ -91,6 +100,7 @@ class Scanner:
                 at = text.find(seed, at + 1)
         best: dict[tuple[str, int], tuple] = {}
         short: dict[tuple[str, int], tuple] = {}
+        hits: list[tuple[str, int, int, int, int]] = []
         for n, begin, end in windows:
             _, label, _, pattern, edge = self.notices[n]
             hit = pattern.search(text, begin, end)
@@ -101,13 +111,14 @@ class Scanner:
                     a += 1
                 while b > a and text[b - 1] == 32:
                     b -= 1
-                first = text.count(b" ", 0, a) - 1
-                row = (label, first, first + text.count(b" ", a, b) + 1, errors)
-                key = (label, first)
-                if edge:
-                    short[key] = min(row, short.get(key, row), key=lambda r: r[3])
-                elif key not in best or errors < best[key][3]:
-                    best[key] = row
+                hits.append((label, a, b, errors, edge))
+        begins, ends = word_numbers(text, [h[1] for h in hits]), word_numbers(text, [h[2] for h in hits])
+        for (label, _, _, errors, edge), begin, end in zip(hits, begins, ends):
+            row, key = (label, begin - 1, end, errors), (label, begin - 1)
+            if edge:
+                short[key] = min(row, short.get(key, row), key=lambda r: r[3])
+            elif key not in best or errors < best[key][3]:
+                best[key] = row
         # a short notice within a longer one of its label is that one
         covered = {(label, w) for label, a, b, _ in best.values() for w in range(a, b)}
         for key, row in short.items():
