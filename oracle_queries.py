@@ -240,6 +240,24 @@ def _check(relation: str, rule: str, column: str, condition: str, source: str) -
             f"count(*) as violations from {source} where {condition}")
 
 
+def _metadata() -> str:
+    """Rows, nulls and types of all columns, counted from the data; lists have no null count."""
+    tables = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+              "conversations").split()
+    counted = " union all ".join(
+        f"select '{t}' as source_name, column_name, (select count(*) from {t}) as row_count, non_null from "
+        f"(unpivot (select count(columns(*)) from {t}) on columns(*) into name column_name value non_null)"
+        for t in tables)
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+             "FLOAT[]": "array<float>"}
+    kind = " ".join(f"when '{a}' then '{b}'" for a, b in kinds.items())
+    return f"""with counted as ({counted})
+        select source_name, column_index as ordinal, column_name, case data_type {kind} end as data_type, is_nullable, row_count,
+          case when data_type like '%[]' then null else row_count - non_null end as nulls
+        from counted c join (select table_name, column_name as name, data_type, column_index, is_nullable from duckdb_columns()
+          where table_name in ({", ".join(f"'{t}'" for t in tables)})) d on d.table_name = source_name and d.name = c.column_name"""
+
+
 def _not_null() -> str:
     declared = {
         ("raw_transactions", "raw"): ["tx_id", "user_id", "amount", "tx_at"],
@@ -254,6 +272,14 @@ def _not_null() -> str:
     )
 
 
+def _accepted() -> str:
+    return " union all ".join([
+        _check("raw_transactions", "accepted_values", "currency", "currency not in ('VND')", "raw"),
+        _check("raw_transactions", "accepted_values", "device", _DEVICE, "raw"),
+        _check("stg_transactions", "accepted_values", "device", _DEVICE, "stg"),
+    ])
+
+
 def _unique() -> str:
     declared = [("raw_transactions", "raw", "tx_id"), ("stg_transactions", "stg", "tx_id"),
                 ("mart_fraud_report", "report", "user_id")]
@@ -362,6 +388,8 @@ ORACLES = {
         count(*) as count from alerts
         where cast(tx_at as timestamp) >= timestamp '2024-01-30 00:00:00' group by 1""",
     "fraud_heatmap": f"with {ALERTS}{_heatmap('alerts')} select * from heat",
+    "alert_rollup": f"""with {ALERTS} select date_trunc('hour', cast(tx_at as timestamp)) as hour, user_id,
+        count(*) as alerts, cast(sum(fraud_score) as bigint) as score from alerts group by all""",
     "fraud_heatmap_pivot": f"with {ALERTS}{_heatmap('alerts')} select day_no, day, "
         + ", ".join(f"cast(sum(count) filter (where hour = {h}) as bigint) as h{h:02d}"
                     for h in range(24))
@@ -380,10 +408,8 @@ ORACLES = {
         false as geo_anomaly from alerts where not geo_anomaly and fraud_score > 1""",
     "dq_not_null": f"with {_BOTH_MARTS} {_not_null()}",
     "dq_unique": f"with {_BOTH_MARTS} {_unique()}",
-    "dq_accepted_values": f"""with {STG}
-        {_check('raw_transactions', 'accepted_values', 'currency', "currency not in ('VND')", 'raw')}
-        union all {_check('raw_transactions', 'accepted_values', 'device', _DEVICE, 'raw')}
-        union all {_check('stg_transactions', 'accepted_values', 'device', _DEVICE, 'stg')}""",
+    "dq_accepted_values": f"with {STG} {_accepted()}",
+    "dq_profile": f"with {_BOTH_MARTS} {_not_null()} union all {_unique()} union all {_accepted()}",
     "dq_no_negative_amount": f"""with {RAW} select tx_id, cast(amount as double) as amount
         from raw where amount < 0""",
     "dq_fraud_rate_band": f"""with {MART}, {_OVERALL} select overall_fraud_rate_pct from overall
@@ -427,3 +453,7 @@ ORACLES = {
         from (select cast(least(coalesce(sum(p), 0), 100) as int) as data_debt_score,
           coalesce(string_agg(d, '; ' order by d), '') as details from points)""",
 }
+# the roll-up gives the feeds that the alerts give
+ORACLES |= {f"rollup_{feed}": ORACLES[name] for feed, name in (
+    ("top_users", "top_flagged_users"), ("heatmap", "fraud_heatmap"), ("trend_hourly", "fraud_trend_hourly"))}
+ORACLES["table_metadata"] = _metadata()

@@ -203,6 +203,33 @@ def test_usual_plan_has_one_exchange_and_no_hot_branch(spark, staged):
     assert final.count("Exchange hashpartitioning") == 1
 
 
+def test_hot_rows_are_read_from_the_source_three_times(spark, tmp_path):
+    rows = [(f"t{i:03d}", "hot" if i % 3 == 0 else f"u{i % 7}" if i % 11 else None, i * 37, i % 50 + 1, "VN" if i % 5 else "US") for i in range(300)]
+    table(spark, rows).write.parquet(str(tmp_path / "t"))
+    reads = []
+    df = spark.read.parquet(str(tmp_path / "t"))
+
+    def watched(frame):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        reads.append(plan.split("Initial Plan")[0].count("FileScan parquet"))
+        return frame
+
+    scored = rules.score_transactions(df, hot_user_rows=50)
+    # one scan told who is hot, one stored the hot rows, one is left for the other users
+    watched(scored)
+    assert reads == [1]
+    usual = rules.score_transactions(df)
+    assert sorted(map(str, scored.collect())) == sorted(map(str, usual.select(scored.columns).collect()))
+    watched(usual)
+    assert reads[-1] == 1
+
+
+def test_a_longer_list_of_hot_users_is_joined(spark, staged, monkeypatch):
+    want = sorted(map(str, rules.score_transactions(staged).collect()))
+    monkeypatch.setattr(rules, "MOST_LISTED", 1)
+    assert sorted(map(str, rules.score_transactions(staged, hot_user_rows=20).select(rules.score_transactions(staged).columns).collect())) == want
+
+
 def test_window_has_to_be_whole_slides(spark, staged):
     with pytest.raises(ValueError):
         rules.velocity_score(staged, "25 seconds", "10 seconds")

@@ -6,6 +6,8 @@ Arrival order is (batch_id, tx_at, tx_id), newest first.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -103,13 +105,15 @@ def _day_hour_counts(alerts: DataFrame) -> DataFrame:
 
 def alert_heatmap(alerts: DataFrame) -> DataFrame:
     """Counts for each of the 7 x 24 (day, hour) cells, zero where there is no alert."""
-    spark = alerts.sparkSession
-    grid = spark.range(168).select(
+    return _heatmap(_day_hour_counts(alerts))
+
+
+def _heatmap(counts: DataFrame) -> DataFrame:
+    grid = counts.sparkSession.range(168).select(
         F.floor(F.col("id") / 24).cast("int").alias("day_no"),
         (F.col("id") % 24).cast("int").alias("hour"),
     )
     day = F.element_at(F.array(*map(F.lit, DAY_NAMES)), F.col("day_no") + 1)
-    counts = _day_hour_counts(alerts)
     return (
         # at most 168 count rows
         grid.join(F.broadcast(counts), ["day_no", "hour"], "left")
@@ -121,12 +125,16 @@ def alert_heatmap(alerts: DataFrame) -> DataFrame:
 
 def alert_heatmap_pivot(alerts: DataFrame) -> DataFrame:
     """The heatmap as seven rows, Monday first, with columns h00..h23."""
+    return _pivot(alert_heatmap(alerts))
+
+
+def _pivot(heatmap: DataFrame) -> DataFrame:
     cells = [
         F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("count"))), F.lit(0).cast("bigint"))
         .alias(f"h{h:02d}")
         for h in range(24)
     ]
-    return alert_heatmap(alerts).groupBy("day_no", "day").agg(*cells).orderBy("day_no")
+    return heatmap.groupBy("day_no", "day").agg(*cells).orderBy("day_no")
 
 
 def alert_totals(alerts: DataFrame) -> DataFrame:
@@ -230,3 +238,67 @@ def stats_of_scored(scored: DataFrame, closed_at: Column, now: Column, top: int
         .alias("circuit_breaker_active"),
         F.sort_array(F.collect_list(best), asc=False).alias("top_flagged_users"),
     )
+
+
+# ---------------------------------------------------------------- roll-up
+
+def alert_rollup(alerts: DataFrame) -> DataFrame:
+    """Alerts and score per (hour, user): ROLLUP.  Roll-ups add up, so batches may be summed in any order.
+
+    ``hour`` is null for alerts whose time cannot be read, which no time feed counts.
+    """
+    return alerts.groupBy(floor_hour(_alert_time()).alias("hour"), "user_id").agg(
+        F.count(F.lit(1)).alias("alerts"), F.sum("fraud_score").alias("score"))
+
+
+def merge_rollups(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("hour", "user_id").agg(F.sum("alerts").alias("alerts"), F.sum("score").alias("score"))
+
+
+def rollup_totals(rollup: DataFrame) -> DataFrame:
+    return rollup.agg(F.coalesce(F.sum("alerts"), F.lit(0)).alias("total_fraud_alerts"))
+
+
+def rollup_by_user(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("user_id").agg(F.sum("alerts").alias("alert_count"), F.sum("score").alias("total_score"))
+
+
+def rollup_top_users(rollup: DataFrame, limit: int = 10) -> DataFrame:
+    return (
+        rollup.groupBy("user_id").agg(F.sum("score").alias("total_score"))
+        .orderBy(F.desc("total_score"), F.desc("user_id")).limit(limit)
+    )
+
+
+def rollup_heatmap(rollup: DataFrame) -> DataFrame:
+    return _heatmap(
+        rollup.filter(F.col("hour").isNotNull())
+        .groupBy(F.weekday("hour").alias("day_no"), F.hour("hour").alias("hour"))
+        .agg(F.sum("alerts").alias("count"))
+    )
+
+
+def rollup_heatmap_pivot(rollup: DataFrame) -> DataFrame:
+    return _pivot(rollup_heatmap(rollup))
+
+
+def rollup_trend_hourly(rollup: DataFrame, now: datetime, alerts: DataFrame | None = None) -> DataFrame:
+    """Alert counts per hour of the last 24 hours before ``now`` (UTC).
+
+    Whole hours come from the roll-up.  Unless ``now`` is on the hour, the oldest one is cut, and only for
+    that hour ``alerts`` are read.
+    """
+    start = now - timedelta(hours=24)
+    cut = start.replace(minute=0, second=0, microsecond=0)
+    whole = cut if cut == start else cut + timedelta(hours=1)
+    counts = rollup.filter(F.col("hour") >= F.lit(whole).cast("timestamp_ntz")).select("hour", F.col("alerts").alias("n"))
+    if whole != cut:
+        if alerts is None:
+            raise ValueError("now is not on the hour: the alerts of the cut hour are needed")
+        edge = alerts.withColumn("_t", _alert_time()).filter(
+            (F.col("_t") >= F.lit(start).cast("timestamp_ntz")) & (F.col("_t") < F.lit(whole).cast("timestamp_ntz")))
+        counts = counts.unionByName(edge.select(floor_hour(F.col("_t")).alias("hour"), F.lit(1).cast("bigint").alias("n")))
+    return (
+        counts.groupBy("hour").agg(F.sum("n").alias("count"))
+        .select(F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss").alias("hour"), "count").orderBy("hour")
+    )

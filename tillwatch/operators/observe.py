@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tillwatch.functions.exact import count_where
 from tillwatch.functions.timegrid import hours_between, zoneless
@@ -58,6 +59,52 @@ def snapshot_schema(spark: SparkSession, tables: dict[str, DataFrame], at: datet
     return spark.createDataFrame(rows, SCHEMA_SNAPSHOTS)
 
 
+def read_for_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table read so that Spark answers counts from file footers alone.
+
+    Spark does that in its newer reader only, which is chosen when the table is opened.
+    """
+    older = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(older)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set(older, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(older, before)
+
+
+def table_metadata(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """One row per column of each Parquet table: place, type, rows of the table, nulls of the column.
+
+    Column chunks are not read: footers hold the counts, one task per group of files reads them, and a
+    table of any size becomes one row before it is unpacked.  Nested columns have no count there; their
+    ``nulls`` are null.
+    """
+    parts = []
+    for name, path in paths.items():
+        df = read_for_metadata(spark, path)
+        flat = {f.name for f in df.schema if not isinstance(f.dataType, (ArrayType, MapType, StructType))}
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_{i}")
+                                                             for i, c in enumerate(df.columns) if c in flat])
+        rows = F.array(*[
+            F.struct(
+                F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.lit(f.nullable).alias("is_nullable"), F.col("_rows").alias("row_count"),
+                (F.col("_rows") - F.col(f"_{i}") if f.name in flat else F.lit(None).cast("bigint")).alias("nulls"),
+            ) for i, f in enumerate(df.schema)
+        ])
+        parts.append(counts.select(F.lit(name).alias("source_name"), F.inline(rows)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def metadata_snapshot(metadata: DataFrame, at: Column) -> DataFrame:
+    """Metadata rows in the form of stored snapshots, for the drift checks."""
+    return metadata.select(
+        "source_name", at.alias("snapshot_at"), "ordinal", "column_name", "data_type", "is_nullable",
+        F.lit(None).cast("string").alias("column_default"))
+
+
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     """All column rows of each source's newest snapshot."""
     newest = snapshots.groupBy("source_name").agg(F.max("snapshot_at").alias("snapshot_at"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwatch.functions.exact import count_where
@@ -96,6 +96,72 @@ def check_columns(relations: dict[str, DataFrame]) -> DataFrame:
     return _union(parts).select(*_RESULT)
 
 
+def profile(df: DataFrame, relation: str, conditions: dict[str, Column] | None = None) -> DataFrame:
+    """Every declared check of a relation from one scan of it; ``conditions`` adds counts of rows by name
+    (rule ``condition``).
+
+    With a unique check, rows first become counters per key, summed in each task before they move, and the
+    keys' totals are then added up: the null, domain and row counts ride on the key count.
+    """
+    bad = {("not_null", c): F.col(c).isNull() for c in NOT_NULL.get(relation, [])}
+    bad |= {("accepted_values", c): F.col(c).isNotNull() & ~F.col(c).isin(*values)
+            for c, values in ACCEPTED.get(relation, {}).items()}
+    bad |= {("condition", c): when for c, when in (conditions or {}).items()}
+    counts = {k: count_where(when).alias(f"_{n}") for n, (k, when) in enumerate(bad.items())}
+    keys = UNIQUE.get(relation, [])
+    if len(keys) > 1:
+        raise ValueError("one key per relation")
+    if keys:
+        per_key = df.groupBy(keys[0]).agg(*counts.values(), F.count(F.lit(1)).alias("_rows"))
+        sums = [F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(f"_{n}") for n in range(len(bad))]
+        repeated = count_where(F.col(keys[0]).isNotNull() & (F.col("_rows") > 1))
+        found = per_key.agg(*sums, repeated.alias(f"_{len(bad)}"))
+    else:
+        found = df.agg(*counts.values())
+    return _listed(found, relation, [*bad, *(("unique", k) for k in keys)])
+
+
+def _listed(counts: DataFrame, relation: str, names: list[tuple[str, str]]) -> DataFrame:
+    """Columns _0, _1, ... of one row as check rows."""
+    rows = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("column"), F.col(f"_{n}").cast("bigint").alias("violations"))
+        for n, (rule, c) in enumerate(names)
+    ])
+    return counts.select(F.lit(relation).alias("relation"), F.inline(rows)).select(*_RESULT)
+
+
+def profile_all(relations: dict[str, DataFrame]) -> DataFrame:
+    """Every declared check on the given relations, one scan for each."""
+    return _union([profile(df, r) for r, df in relations.items()])
+
+
+class Observed:
+    """The checks of a model taken while it is written: no scan of its own.
+
+    Unique checks are not among them, since an observation holds no distinct counts; a model grouped by
+    its key has none to fail.
+    """
+
+    def __init__(self, relation: str) -> None:
+        self.relation = relation
+        self.names = [("not_null", c) for c in NOT_NULL.get(relation, [])]
+        self.names += [("accepted_values", c) for c in ACCEPTED.get(relation, {})]
+        self._seen = Observation(relation)
+
+    def on(self, df: DataFrame, *more: Column) -> DataFrame:
+        bad = {"not_null": lambda c: F.col(c).isNull(),
+               "accepted_values": lambda c: F.col(c).isNotNull() & ~F.col(c).isin(*ACCEPTED[self.relation][c])}
+        return df.observe(self._seen, *[count_where(bad[rule](c)).alias(f"_{n}") for n, (rule, c) in enumerate(self.names)], *more)
+
+    @property
+    def seen(self) -> dict:
+        return self._seen.get
+
+    def violations(self) -> list[tuple]:
+        """(relation, rule, column, violations) of the failed checks, after the write."""
+        return [(self.relation, rule, c, self.seen[f"_{n}"]) for n, (rule, c) in enumerate(self.names) if self.seen[f"_{n}"]]
+
+
 def negative_amounts(transactions: DataFrame) -> DataFrame:
     """Offending rows; none means the check passes."""
     return transactions.filter(F.col("amount") < 0).select("tx_id", "amount")

@@ -13,9 +13,10 @@ Two ways to compute the same columns, chosen per user by row count:
   distinct moments), the rules run on those, and the result is joined back on (user, slot), which
   spreads one user over many tasks.  A user's slots are bounded by time span / slide.
 
-The hot-user list comes from a narrow count and has at most (all rows / hot_user_rows) entries,
-hence the broadcast.  Without hot users adaptive execution sees the empty list and drops the second
-branch before it reads anything.
+Who is hot is found before the plan is made, by one narrow count: without hot users the plan has no
+second branch, and the list is broadcast only up to a checked number of entries.  Hot rows are written
+once to the cluster's checkpoint folder, so that the rules, which read them several times, do not read
+the source again.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillwatch.functions.timegrid import at_micros, epoch_micros, micros, slot, window_grid
+from tillwatch.session import checkpointed
 
 HOT_USER_ROWS = 500_000
+#: hot users that are broadcast; a longer list is joined by a shuffle
+MOST_LISTED = 100_000
 
 # Rule thresholds.
 VELOCITY_WARNING = 5
@@ -40,24 +44,37 @@ RowRule = Callable[[DataFrame], DataFrame]
 
 # ---------------------------------------------------------------- splitting by user size
 
-def hot_users(df: DataFrame, hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
-    """Users with more than ``hot_user_rows`` rows."""
-    return (
-        df.filter(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_user_rows)
-        .select("user_id")
-    )
+def _listed(df: DataFrame, hot_user_rows: int) -> DataFrame | None:
+    """The hot users (``_hot``), null among them if so many rows have no user; None if nobody is hot.
+
+    An action: a count per user, of which the hot ones, at most rows / ``hot_user_rows``, come back.
+    """
+    counts = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_user_rows)
+    users = counts.select(F.col("user_id").alias("_hot"))
+    first = users.limit(MOST_LISTED + 1).collect()
+    if not first:
+        return None
+    if len(first) > MOST_LISTED:
+        return users
+    return F.broadcast(df.sparkSession.createDataFrame(first, users.schema))
+
+
+def _split(df: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other users, rows of the listed ones, stored)."""
+    is_listed = F.col("user_id").eqNullSafe(F.col("_hot"))
+    return df.join(listed, is_listed, "left_anti"), checkpointed(df.join(listed, is_listed, "left_semi"))
 
 
 def _by_user_size(df: DataFrame, small: RowRule, hot: RowRule, hot_user_rows: int) -> DataFrame:
-    listed = F.broadcast(hot_users(df, hot_user_rows))
-    usual = df.join(listed, "user_id", "left_anti").withColumn(
-        "_alone", F.when(F.col("user_id").isNull(), F.col("tx_id"))
-    )
-    heavy = df.join(listed, "user_id", "left_semi")
-    return small(usual).drop("_alone").unionByName(hot(heavy))
+    def alone(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_alone", F.when(F.col("user_id").isNull(), F.col("tx_id")))
+
+    # rows without a user are many small groups, whatever their number
+    listed = _listed(df.filter(F.col("user_id").isNotNull()), hot_user_rows)
+    if listed is None:
+        return small(alone(df)).drop("_alone")
+    usual, heavy = _split(df, listed)
+    return small(alone(usual)).drop("_alone").unionByName(hot(heavy))
 
 
 # One user's rows; rows without a user each stand alone.  Every window of the small path partitions
@@ -151,37 +168,50 @@ def _counted_medians(rows: DataFrame, length: int, step: int) -> DataFrame:
     )
 
 
+def _window_runs(rows: DataFrame, length: int, step: int, accuracy: int) -> DataFrame:
+    """Exact median ``_m`` per (user_id, ``_start``) of rows (user_id, amount, ``_slot``), groups of a bounded size.
+
+    Sliding along the grid, what a window holds changes only where a slot enters at its end or leaves at
+    its start.  So each row stands at its slot and marks those two starts; the median is taken once per
+    mark, over the rows ahead of it, and holds until the next mark.  Windows are told apart last.
+    """
+    def mark(at: Column, real: bool) -> Column:
+        return F.struct(at.alias("_at"), (F.col("amount") if real else F.lit(None).cast("double")).alias("_amount"), F.lit(real).alias("_real"))
+
+    slot_at = F.col("_slot")
+    marks = rows.repartition("user_id").select("user_id", F.inline(F.array(
+        mark(slot_at, True), mark(slot_at - (length - step), False), mark(slot_at + step, False))))
+    per_user = Window.partitionBy("user_id").orderBy("_at")
+    ahead = per_user.rangeBetween(0, length - step)
+    runs = marks.withColumns({
+        "_m": F.percentile_approx("_amount", 0.5, accuracy).over(ahead),
+        "_held": F.count(F.when(F.col("_real"), 1)).over(ahead),
+        "_next": F.min(F.when(~F.col("_real"), F.col("_at"))).over(per_user.rangeBetween(1, Window.unboundedFollowing)),
+    }).filter(~F.col("_real") & (F.col("_held") > 0))
+    once = runs.groupBy("user_id", "_at").agg(F.first("_m").alias("_m"), F.first("_next").alias("_next"))
+    return once.select("user_id", "_m", F.explode(F.sequence(F.col("_at"), F.col("_next") - step, F.lit(step))).alias("_start"))
+
+
 def amount_windows(df: DataFrame, window: str = "24 hours", slide: str = "1 hour",
                    hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
     """Exact median amount per (user, sliding window), null where a window has no amount.
 
-    Usual users: rows move once to their user's partition and are repeated per window only there.
-    Hot users (and rows without a user, which share a group here) are counted instead, see
-    ``_counted_medians``.
+    Usual users: rows move once to their user's partition, medians are taken where the content changes.
+    Hot users (rows without a user share a group here) are counted instead, see ``_counted_medians``.
     """
     length, step = window_grid(window, slide)
     amounts = df.select("user_id", F.col("amount").cast("double").alias("amount"),
                         slot(F.col("tx_at"), step).alias("_slot"))
-    listed = F.broadcast(
-        amounts.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > hot_user_rows) | F.col("user_id").isNull())
-        .select(F.col("user_id").alias("_hot"))
-    )
-    is_listed = F.col("user_id").eqNullSafe(F.col("_hot"))
-    usual = amounts.join(listed, is_listed, "left_anti")
-    heavy = amounts.join(listed, is_listed, "left_semi")
-
-    def windows(rows: DataFrame) -> DataFrame:
-        return rows.select("user_id", "amount", _spread(F.col("_slot"), length, step).alias("_start"))
-
-    median = F.percentile_approx("amount", 0.5, _median_accuracy(hot_user_rows))
-    usual = windows(usual.repartition("user_id")).groupBy("user_id", "_start").agg(median.alias("_m"))
-    # windows without any amount have no median but are windows
-    bare = windows(heavy.groupBy("user_id", "_slot").agg(F.max("amount").alias("amount")))
-    bare = bare.groupBy("user_id", "_start").agg(F.max("amount").alias("_m")).filter("_m is null")
-    counted = _counted_medians(heavy, length, step)
-    return usual.unionByName(counted).unionByName(bare).select(
-        "user_id", *_window_bounds(length), F.col("_m").alias("user_median_amount"))
+    listed = _listed(amounts, hot_user_rows)
+    usual, heavy = (amounts, None) if listed is None else _split(amounts, listed)
+    found = _window_runs(usual, length, step, _median_accuracy(hot_user_rows)).select("user_id", "_start", "_m")
+    if heavy is not None:
+        # windows without any amount have no median but are windows
+        bare = heavy.groupBy("user_id", "_slot").agg(F.max("amount").alias("amount"))
+        bare = bare.select("user_id", "amount", _spread(F.col("_slot"), length, step).alias("_start"))
+        bare = bare.groupBy("user_id", "_start").agg(F.max("amount").alias("_m")).filter("_m is null")
+        found = found.unionByName(_counted_medians(heavy, length, step)).unionByName(bare)
+    return found.select("user_id", *_window_bounds(length), F.col("_m").alias("user_median_amount"))
 
 
 # ---------------------------------------------------------------- velocity

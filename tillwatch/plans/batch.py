@@ -19,41 +19,36 @@ class QualityError(RuntimeError):
         super().__init__("; ".join(f"{r}.{c} {rule}: {n}" for r, rule, c, n in violations))
 
 
-def _gate(checks: DataFrame) -> None:
+def violated(violations: list[tuple]) -> None:
+    if violations:
+        raise QualityError(sorted(violations))
+
+
+def gate(checks: DataFrame) -> None:
     # at most one row per declared check
-    failed = checks.filter(F.col("violations") > 0).orderBy("relation", "rule", "column").collect()
-    if failed:
-        raise QualityError([tuple(r[c] for c in ("relation", "rule", "column", "violations"))
-                            for r in failed])
-
-
-def _assertions(staged: DataFrame, mart: DataFrame) -> DataFrame:
-    """The two assertion queries as violation counts."""
-    checks = {
-        ("stg_transactions", "no_negative_amount", "amount"): quality.negative_amounts(staged),
-        ("mart_revenue_daily", "fraud_rate_band", "fraud_rate_pct"):
-            quality.fraud_rate_outside(revenue.overall_fraud_rate(mart)),
-    }
-    parts = [
-        rows.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(rel).alias("relation"), F.lit(rule).alias("rule"), F.lit(col).alias("column"),
-            "violations")
-        for (rel, rule, col), rows in checks.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    violated([tuple(r[c] for c in ("relation", "rule", "column", "violations"))
+              for r in checks.filter(F.col("violations") > 0).collect()])
+
+
+def _fraud_rate(mart: DataFrame) -> DataFrame:
+    outside = quality.fraud_rate_outside(revenue.overall_fraud_rate(mart))
+    return outside.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("mart_revenue_daily").alias("relation"), F.lit("fraud_rate_band").alias("rule"),
+        F.lit("fraud_rate_pct").alias("column"), "violations")
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, prefix: str = "") -> dict[str, DataFrame]:
     """Build all models from the raw table and return them as stored tables.
 
     The staged relation stays a view.  A violation in it stops the run before any model is built; a
-    violation in a model is raised after all are built.  Each intermediate is written once and
-    read back, so the marts do not repeat the scan of the raw table.
+    violation in the raw table or a model is raised after all are built.  Each intermediate is written
+    once and read back, so the marts do not repeat the scan of the raw table.  All checks of a relation
+    are one scan of it, and those of the revenue mart are taken while it is written.
     """
     staged = stg_transactions(raw)
     view = f"{prefix}stg_transactions"
     staged.createOrReplaceTempView(view)
-    _gate(quality.check_columns({"stg_transactions": staged}))
+    gate(quality.profile(staged, "stg_transactions", {"negative_amount": F.col("amount") < 0}))
 
     def store(name: str, rows: DataFrame, partition_by: str | None = None) -> DataFrame:
         overwrite_table(rows, prefix + name, partition_by)
@@ -61,12 +56,13 @@ def run_batch(spark: SparkSession, raw: DataFrame, prefix: str = "") -> dict[str
 
     merchant = store("int_merchant_revenue", revenue.int_merchant_revenue(staged), "tx_date")
     users = store("int_user_daily_summary", revenue.int_user_daily_summary(staged), "tx_date")
-    mart = store("mart_revenue_daily", revenue.mart_revenue_daily(merchant), "date")
+    checks = quality.Observed("mart_revenue_daily")
+    mart = store("mart_revenue_daily", checks.on(revenue.mart_revenue_daily(merchant)), "date")
     report = store("mart_fraud_report", revenue.mart_fraud_report(users))
 
-    relations = {"raw_transactions": raw, "stg_transactions": staged,
-                 "mart_revenue_daily": mart, "mart_fraud_report": report}
-    _gate(quality.check_columns(relations).unionByName(_assertions(staged, mart)))
+    later = quality.profile_all({"raw_transactions": raw, "mart_fraud_report": report}).unionByName(_fraud_rate(mart))
+    failed = later.filter(F.col("violations") > 0).collect()
+    violated(checks.violations() + [tuple(r) for r in failed])
     return {"stg_transactions": spark.table(view), "int_merchant_revenue": merchant,
             "int_user_daily_summary": users, "mart_revenue_daily": mart,
             "mart_fraud_report": report}

@@ -8,6 +8,7 @@ derived from ``events`` too: one freshness check per (event type, day), and one
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,10 @@ def at(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+# The tables of the folder.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 NOW = "2024-01-31 00:00:00"
 
 
@@ -278,9 +283,15 @@ def queries() -> dict[str, Query]:
         "circuit_breaker_rate": breaker_log,
         "alert_stats": _stats,
         "alerts_read_back": _read_alerts,
+        # alert feeds from the roll-up
+        "alert_rollup": lambda s, sf: al.alert_rollup(alerts(s, sf)),
+        "rollup_top_users": lambda s, sf: al.rollup_top_users(al.alert_rollup(alerts(s, sf))),
+        "rollup_heatmap": lambda s, sf: al.rollup_heatmap(al.alert_rollup(alerts(s, sf))),
+        "rollup_trend_hourly": lambda s, sf: al.rollup_trend_hourly(al.alert_rollup(alerts(s, sf)), datetime.fromisoformat(NOW)),
         # quality
         "dq_not_null": lambda s, sf: quality.check_not_null(_relations(s, sf)),
         "dq_unique": lambda s, sf: quality.check_unique(_relations(s, sf)),
+        "dq_profile": lambda s, sf: quality.profile_all(_relations(s, sf)),
         "dq_accepted_values": lambda s, sf: quality.check_accepted_values(_relations(s, sf)),
         "dq_no_negative_amount": lambda s, sf: d(quality.negative_amounts(raw(s, sf))),
         "dq_fraud_rate_band": lambda s, sf: d(quality.fraud_rate_outside(
@@ -288,6 +299,7 @@ def queries() -> dict[str, Query]:
         "dq_fraud_rate_tight_band": lambda s, sf: d(quality.fraud_rate_outside(
             revenue.overall_fraud_rate(mart(s, sf)), 0.1, 1.0)),
         # observability
+        "table_metadata": lambda s, sf: observe.table_metadata(s, {t: f"{sf}/{t}.parquet" for t in TABLES}),
         "schema_snapshot": lambda s, sf: observe.latest_snapshot(schema_history(s, sf)),
         "schema_diff":
             lambda s, sf: diff_text(observe.diff_history(schema_history(s, sf))),

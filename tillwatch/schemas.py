@@ -23,6 +23,9 @@ ALERT_FIELDS = (
 
 ALERTS = "batch_id bigint, " + ALERT_FIELDS
 
+# alerts and score per hour and user
+ROLLUP = "hour timestamp_ntz, user_id string, alerts bigint, score bigint"
+
 BREAKER_LOG = (
     "batch_id bigint, scored_tx bigint, flagged_tx bigint, fraud_rate double, tripped boolean, "
     "flag_until timestamp_ntz"

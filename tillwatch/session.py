@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,12 +33,23 @@ def spark_session(app: str = "tillwatch", master: str | None = None, **extra: st
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stream state.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local session without that setting
-    (tests) falls back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``.  Only one local process without that setting (tests)
+    falls back to a temporary folder, and keeps it for the session.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="tillwatch-")
+    made = tempfile.mkdtemp(prefix="tillwatch-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder: read several times, it is computed once and survives lost executors."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
+    return df.checkpoint()

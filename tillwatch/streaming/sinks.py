@@ -14,7 +14,7 @@ from tillwatch.functions.exact import count_where
 from tillwatch.functions.timegrid import as_utc
 from tillwatch.operators import alerts as al
 from tillwatch.operators import ingest
-from tillwatch.schemas import ALERTS, BREAKER_LOG, RAW_TRANSACTIONS
+from tillwatch.schemas import ALERTS, BREAKER_LOG, RAW_TRANSACTIONS, ROLLUP
 from tillwatch.sources.batches import FAN, BatchTable, covers
 from tillwatch.sources.key_index import KeyIndex
 from tillwatch.sources.messages import positioned, split_dead_letters
@@ -49,6 +49,14 @@ def publish_to_files(path: str) -> Publish:
     return publish
 
 
+class RollupTable(BatchTable):
+    """Roll-ups of micro-batches; merged ones are summed, so they grow with hours and users, not with alerts."""
+
+    def _write_merged(self, rows: DataFrame, path: str, files: int) -> dict:
+        merged = al.merge_rollups(rows).withColumns({"run": F.lit(None).cast("string"), "batch_id": F.lit(None).cast("bigint")})
+        return super()._write_merged(merged.select(*self.stored.names), path, files)
+
+
 class AlertSink:
     """Score sink: store alerts, log the flagged share, publish unless the breaker holds.
 
@@ -62,6 +70,7 @@ class AlertSink:
                  threshold: float = al.BREAKER_RATE, hold_seconds: int = al.BREAKER_SECONDS,
                  fan: int = FAN) -> None:
         self._alerts = BatchTable(f"{root}/alerts", ALERTS, fan)
+        self._rollup = RollupTable(f"{root}/alert_rollup", ROLLUP, fan)
         self._log = BatchTable(f"{root}/breaker_log", BREAKER_LOG, fan)
         self.publish, self.now = publish, now
         self.threshold, self.hold_seconds = threshold, hold_seconds
@@ -86,6 +95,7 @@ class AlertSink:
             self._log.write(log.coalesce(1), run, batch_id)
             alerts = al.to_alerts(scored.filter("is_flagged"), F.lit(batch_id))
             self._alerts.write(alerts, run, batch_id)
+            self._rollup.write(al.alert_rollup(alerts), run, batch_id)
             if flagged and (held is None or held <= now):
                 self.publish(al.alert_payload(alerts), batch_id)
         finally:
@@ -103,6 +113,10 @@ class AlertSink:
     def alerts(self, spark: SparkSession) -> DataFrame:
         return self._alerts.read(spark)
 
+    def rollup(self, spark: SparkSession) -> DataFrame:
+        """What the feeds read instead of the alerts (``alerts.rollup_*``)."""
+        return self._rollup.read(spark)
+
     def breaker_log(self, spark: SparkSession) -> DataFrame:
         return self._log.read(spark)
 
