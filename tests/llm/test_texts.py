@@ -188,7 +188,9 @@ def test_lm_scores(make, spark):
 
 
 @pytest.mark.parametrize("hot", [0, 200, 500_000])
-def test_lm_scores_know_every_word(make, spark, hot):
+@pytest.mark.parametrize("hot_words", [0, 60, 1_000_000])
+def test_lm_scores_know_every_word(make, spark, monkeypatch, hot, hot_words):
+    monkeypatch.setattr(lm_score, "BUCKET", 900)
     rnd = random.Random(9)
     texts = {i: " ".join(rnd.choice(["the", "of", f"w{rnd.randrange(20_000)}"]) for _ in range(rnd.randrange(120))) for i in range(150)} | {900: None, 901: "Only12 once é"}
     rows = [*texts.items(), (3, texts[3]), (3, "another text"), (None, "the of")]
@@ -208,7 +210,7 @@ def test_lm_scores_know_every_word(make, spark, hot):
 
     p, q = model([ws for d, ws in words if d is not None and d % 2]), model([ws for _, ws in words])
     want = sorted((-1 if d is None else d, len(ws), sum(math.log(q(a, b)) - math.log(p(a, b)) for a, b in zip(["?", *ws], ws)) / len(ws) if ws else 0) for d, ws in words)
-    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["score"] or 0) for r in lm_score.score_documents(make(rows), ids, hot=hot).collect())
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["score"] or 0) for r in lm_score.score_documents(make(rows), ids, hot=hot, hot_words=hot_words).collect())
     assert [x[:2] for x in got] == [x[:2] for x in want] and [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-5)
 
 
