@@ -4,10 +4,11 @@ Looks back only: count of the user's last 60 seconds, median of the current and
 slots, another country in the last 30 minutes.  So it flags the *later* transaction of a country
 pair, where the batch rules, which can see ahead, flag the earlier one.
 
-State per user: millisecond counts of one minute, the last time per country, per hour slot a count for
-each range of amounts (some thousand ranges at most), and in a map, by slot and range, the amounts
-themselves with their counts.  A median is found by the range counts first; only the amounts of its range
-are then read.  So medians are exact at any size.  Rows without a user each stand alone and have no state.
+State per user: millisecond counts of one minute and the last time per country; in a map, by hour slot, a
+count for each range of amounts (some thousand ranges at most); in another, by slot and range, the amounts
+themselves with their counts.  A batch rewrites the slots it touches, usually one or two of a day's.  A
+median is found by the range counts first; only the amounts of its range are then read.  So medians are
+exact at any size.  Rows without a user each stand alone and have no state.
 """
 
 from __future__ import annotations
@@ -26,29 +27,18 @@ MINUTE_MS = 60_000
 HOUR_MS = 3_600_000
 GEO_MS = 30 * MINUTE_MS
 SLOTS = 24
-# of fold(), which the scorer does not use
-EXACT_AMOUNTS = 10_000
 
 INPUT = ["tx_id", "user_id", "merchant", "amount", "country_code", "tx_at"]
 OUTPUT = (
     "tx_id string, user_id string, merchant string, amount double, country_code string, "
     "tx_at timestamp, tx_count_60s bigint, user_median_amount double, geo_anomaly_flag boolean"
 )
-STATE = (
-    "ms array<bigint>, ms_n array<bigint>, country array<string>, country_ms array<bigint>, "
-    "slot array<bigint>, range array<bigint>, range_n array<bigint>"
-)
+STATE = "ms array<bigint>, ms_n array<bigint>, country array<string>, country_ms array<bigint>"
+COUNTS = "range array<bigint>, n array<bigint>"
 AMOUNTS_KEY = "slot bigint, range bigint"
 AMOUNTS = "amount array<double>, n array<bigint>"
 
 
-def four_digits(values: np.ndarray) -> np.ndarray:
-    """Values to four significant digits; 0 stays 0."""
-    size = np.where(values == 0, 1.0, np.abs(values))
-    unit = 10.0 ** (np.floor(np.log10(size)) - 3)
-    return np.round(values / unit) * unit
-
-
 def _merge(slot: np.ndarray, amount: np.ndarray, n: np.ndarray) -> tuple:
     """Sum ``n`` over equal (slot, amount); the result is ordered by both."""
     order = np.lexsort((amount, slot))
@@ -58,18 +48,6 @@ def _merge(slot: np.ndarray, amount: np.ndarray, n: np.ndarray) -> tuple:
     return slot[first], amount[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def fold(slot: np.ndarray, amount: np.ndarray, n: np.ndarray) -> tuple:
-    """Histogram (slot, amount, n); crowded slots keep four digits per amount."""
-    slot, amount, n = _merge(slot, amount, n)
-    if len(slot) > EXACT_AMOUNTS:
-        _, where, size = np.unique(slot, return_inverse=True, return_counts=True)
-        crowded = size[where] > EXACT_AMOUNTS
-        if crowded.any():
-            amount = np.where(crowded, four_digits(amount), amount)
-            slot, amount, n = _merge(slot, amount, n)
-    return slot, amount, n
-
-
 class RunningMedian:
     """Lower median of a growing multiset (counts in a binary indexed tree).
 
@@ -183,8 +161,16 @@ class TrailingScorer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("trailing", STATE)
+        self.counts = handle.getMapState("counts", "slot bigint", COUNTS)
         self.amounts = handle.getMapState("amounts", AMOUNTS_KEY, AMOUNTS)
 
+    def _counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Stored slot, range, n, ordered by slot and range."""
+        stored = sorted((k[0], v) for k, v in self.counts.iterator())
+        slot = np.repeat(np.array([s for s, _ in stored], "int64"), [len(v[0]) for _, v in stored])
+        ranges, n = (np.array([x for _, v in stored for x in v[c]], "int64") for c in (0, 1))
+        return slot, ranges, n
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
         # one user's share of one micro-batch; the source's rate cap bounds it
@@ -198,12 +184,12 @@ class TrailingScorer(StatefulProcessor):
             )[[*INPUT, "tx_count_60s", "user_median_amount", "geo_anomaly_flag"]]
             return
         at = batch["tx_at"].to_numpy("datetime64[us]").astype("int64") // 1000
-        stored = self.state.get() if self.state.exists() else ([],) * 7
+        stored = self.state.get() if self.state.exists() else ([],) * 4
         one = np.ones(len(at), "int64")
         ms = np.concatenate([np.asarray(stored[0], "int64"), at])
         ms_n = np.concatenate([np.asarray(stored[1], "int64"), one])
         last = dict(zip(stored[2], stored[3]))
-        counts = tuple(np.asarray(c, "int64") for c in stored[4:])
+        counts = self._counts()
         now_slot, value = at - at % HOUR_MS, batch["amount"].to_numpy("float64") + 0.0
         read: dict[tuple[int, int], tuple] = {}
 
@@ -240,13 +226,17 @@ class TrailingScorer(StatefulProcessor):
             n = np.concatenate([np.asarray(had[1], "int64"), new_n[i:j]])
             _, values, n = _merge(np.zeros(len(values), "int64"), values, n)
             self.amounts.updateValue(key, (values.tolist(), n.tolist()))
-        kept = counts[0] > oldest
-        slot, ranges, n = _merge(*(np.concatenate([c[kept], new]) for c, new in
+        for old in np.unique(counts[0][counts[0] <= oldest]).tolist():
+            self.counts.removeKey((old,))
+        touched = np.isin(counts[0], new_slot)
+        slot, ranges, n = _merge(*(np.concatenate([c[touched], new]) for c, new in
                                    zip(counts, (new_slot, new_range, new_n))))
+        for one in np.unique(slot).tolist():
+            own = slot == one
+            self.counts.updateValue((one,), (ranges[own].tolist(), n[own].tolist()))
         last = {c: t for c, t in last.items() if t >= newest - 2 * GEO_MS}
         self.state.update((
             keep_ms.tolist(), keep_n.tolist(), list(last), list(last.values()),
-            slot.tolist(), ranges.tolist(), n.tolist(),
         ))
         self.handle.registerTimer(newest + (SLOTS + 1) * HOUR_MS)
         yield scored[[*INPUT, "tx_count_60s", "user_median_amount", "geo_anomaly_flag"]]
@@ -254,10 +244,10 @@ class TrailingScorer(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Forget a user a day after the last transaction; earlier timers are outdated."""
         if self.state.exists():
-            slots = self.state.get()[4]
-            newest = max(slots) if slots else 0
+            newest = max(self.state.get()[0], default=0)
             if newest <= expiredTimerInfo.getExpiryTimeInMs() - SLOTS * HOUR_MS:
                 self.state.clear()
+                self.counts.clear()
                 self.amounts.clear()
         return iter(())
 

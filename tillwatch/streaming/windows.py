@@ -24,9 +24,10 @@ def deduplicated(stream: DataFrame) -> DataFrame:
     return stream.dropDuplicatesWithinWatermark(["tx_id"])
 
 
-def _with_window_value(stream: DataFrame, window: str, slide: str, value: Column, name: str
-                       ) -> DataFrame:
-    """Each transaction once per window that holds it, with the window's aggregate.
+def _with_window_value(stream: DataFrame, window: str, slide: str, value: Column, name: str,
+                       alone: Column) -> DataFrame:
+    """Each transaction once per window that holds it, with the window's aggregate, or ``alone`` if it
+    has no user: such a row belongs to no group and comes out unmatched.
 
     The join is on (user, window) equality: a range condition on window bounds is not supported on
     streams, and it would compare every window of a user with every transaction.
@@ -38,21 +39,23 @@ def _with_window_value(stream: DataFrame, window: str, slide: str, value: Column
     )
     # the window is the row's event time from here on; tx_at stays as plain data
     rows = stream.withColumn("rw", spans).withColumn("tx_at", F.col("tx_at").alias("tx_at", metadata={}))
-    return rows.join(values, (rows["user_id"] == values["_user"]) & (rows["rw"] == values["w"])) \
-        .withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}) \
+    same = (rows["user_id"] == values["_user"]) & (rows["rw"] == values["w"])
+    found = F.when(F.col("user_id").isNull(), alone).otherwise(F.col(name))
+    return rows.join(values, same, "left_outer") \
+        .withColumns({"window_start": F.col("rw.start"), "window_end": F.col("rw.end"), name: found}) \
         .drop("_user", "rw", "w")
 
 
 def velocity_per_window(stream: DataFrame, window: str = "60 seconds", slide: str = "10 seconds"
                         ) -> DataFrame:
-    return _with_window_value(stream, window, slide, F.count(F.lit(1)), "tx_count_60s")
+    return _with_window_value(stream, window, slide, F.count(F.lit(1)), "tx_count_60s", F.lit(1).cast("bigint"))
 
 
 def amount_per_window(stream: DataFrame, window: str = "24 hours", slide: str = "1 hour"
                       ) -> DataFrame:
     # exact at any size: equal amounts are one entry with a count, as in the batch rules
     median = F.expr("percentile_disc(0.5) within group (order by cast(amount as double))")
-    return _with_window_value(stream, window, slide, median, "user_median_amount")
+    return _with_window_value(stream, window, slide, median, "user_median_amount", F.col("amount").cast("double"))
 
 
 def per_transaction(emitted: DataFrame) -> DataFrame:
