@@ -122,3 +122,17 @@ def test_fuzzy_notices_find_every_small_edit():
         edited = phrase[:p] + ("" if k == 0 else "x") + phrase[p + (k < 2) :]
         edited = re.sub(" +", " ", edited).strip()
         assert "mpl" in {r[0] for r in scanner.fuzzy(f" some {edited} here ".encode())}, edited
+
+
+def test_stored_tables_go_when_nobody_reads_them(make, tmp_path, monkeypatch):
+    import os
+
+    from tillwatch.llm import shared
+
+    monkeypatch.setattr(shared, "shared_folder", lambda _: str(tmp_path))
+    base = [f"w{k}" for k in range(60)]
+    docs = make([(n, " ".join(base[: 30 + n])) for n in range(30)])
+    groups = jaccard.similar_documents(docs)
+    assert {r["component_id"] for r in groups.collect()} == {0}
+    assert len(os.listdir(tmp_path)) == 2
+    assert substrings.dedup_substrings(docs).count() == 30 and len(os.listdir(tmp_path)) == 3

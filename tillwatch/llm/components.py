@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.shared import stored
+from tillwatch.llm.shared import discard, stored
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", scratch: list[DataFrame] | None = None) -> DataFrame:
     """node, component (its smallest reachable node) of every linked node; links have any direction.
 
     Large stars hang every larger neighbour on a node's smallest one, small stars hang the smaller
@@ -25,7 +25,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         hung = large.join(low, "u")
         small = hung.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
         after = stored(small, "edges")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        same = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
+        discard(large, edges)
+        if same:
+            if scratch is not None:
+                scratch.append(after)
             break
         edges = after
     stars = after.select(F.col("u").alias("node"), F.col("v").alias("component"))

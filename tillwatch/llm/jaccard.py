@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.components import components
-from tillwatch.llm.shared import narrow_batches, small, stored
+from tillwatch.llm.shared import discard, narrow_batches, small, stored
 from tillwatch.llm.words import Words, long_list, mix, runs_hash, spans_hash, word_slices
 
 SHINGLE = 5
@@ -207,48 +207,49 @@ def _search(batches: Iterator[pa.RecordBatch], index, percent: int) -> Iterator[
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, k: int, percent: int):
-        self.docs, self.k, self.percent = docs, k, percent
+    def __init__(self, docs: DataFrame, k: int, percent: int, scratch: list[DataFrame]):
+        self.docs, self.k, self.percent, self.scratch = docs, k, percent, scratch
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """doc_id, features of these documents."""
         rows = self.docs.join(small(ids), "doc_id").dropDuplicates(["doc_id"])
         k = self.k
-        return stored(rows.mapInArrow(lambda b: _features(b, k), "doc_id long, features array<long>"), "sets")
+        return stored(rows.mapInArrow(lambda b: _features(b, k), "doc_id long, features array<long>"), "sets", self.scratch)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the stored pairs a, b that are similar enough."""
-        ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
+        ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids", self.scratch)
         sets = self.sets(ids)
         one = sets.select(F.col("doc_id").alias("b"), F.col("features").alias("fb")).join(small(pairs), "b")
         two = one.join(sets.select(F.col("doc_id").alias("a"), F.col("features").alias("fa")), "a")
         shared = F.size(F.array_intersect("fa", "fb"))
-        return stored(two.filter(_linked(shared, F.size("fa"), F.size("fb"), self.percent)).select("a", "b"), "links")
+        return stored(two.filter(_linked(shared, F.size("fa"), F.size("fb"), self.percent)).select("a", "b"), "links", self.scratch)
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    spark = docs.sparkSession
+    spark, scratch = docs.sparkSession, []
+    found_tables: list[DataFrame] = []
     narrow_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sizes = stored(rows.mapInArrow(lambda b: _sizes(b, shingle), "doc_id long, n_shingles long, digest long, other long"), "sizes")
     filled = sizes.filter("doc_id is not null and n_shingles > 0")
     classes = filled.groupBy("digest", "other").agg(F.min("doc_id").alias("component"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    copies = stored(filled.join(classes, ["digest", "other"]).filter("doc_id != component").select(F.col("component").alias("a"), F.col("doc_id").alias("b")).distinct(), "copies")
+    copies = stored(filled.join(classes, ["digest", "other"]).filter("doc_id != component").select(F.col("component").alias("a"), F.col("doc_id").alias("b")).distinct(), "copies", scratch)
 
     source = rows.filter("doc_id is not null and text is not null")
     source = source.join(small(copies.select(F.col("b").alias("doc_id")).distinct()), "doc_id", "left_anti")
-    join, bands = _Join(source, shingle, percent), Bands(percent)
+    join, bands = _Join(source, shingle, percent, scratch), Bands(percent)
     signed = source.mapInArrow(lambda b: _sign(b, shingle, bands), "sign long, doc_id long, role int, spare int")
     held = signed.groupBy("sign").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("x"), F.max("doc_id").alias("z"), F.bit_xor("doc_id").alias("all"))
-    groups = stored(held.filter("n > 1"), "groups")
+    groups = stored(held.filter("n > 1"), "groups", scratch)
     few = groups.filter(F.col("n") <= FEW).withColumn("y", F.when(F.col("n") == 3, F.col("all").bitwiseXOR(F.col("x")).bitwiseXOR(F.col("z"))))
 
     # sets that lack signatures of their own once the crowded ones are left out
     many = groups.filter(F.col("n") > FEW).select("sign")
     worn = signed.join(small(many), "sign").groupBy("doc_id", "role").agg(F.count(F.lit(1)).alias("lost"), F.first("spare").alias("spare"), F.collect_set("sign").alias("signs"))
-    worn = stored(worn.select("doc_id", "lost", F.when(F.col("lost") > F.col("spare"), F.col("signs")).alias("signs")), "worn")
-    crowded = stored(worn.filter("signs is not null").select("doc_id", F.explode("signs").alias("sign")), "crowded")
+    worn = stored(worn.select("doc_id", "lost", F.when(F.col("lost") > F.col("spare"), F.col("signs")).alias("signs")), "worn", scratch)
+    crowded = stored(worn.filter("signs is not null").select("doc_id", F.explode("signs").alias("sign")), "crowded", scratch)
 
     # pairs of small groups, and how many signatures they must share
     special = [int(x) for x in bands.last_resort(np.arange(len(bands.lows))).view(np.int64)]
@@ -265,36 +266,38 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     spare = F.when(low <= TINY, 0).otherwise(2 + F.floor(spare / 12))
     given = F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0)))
     pairs = pairs.filter(low * 100 >= high * percent)
-    pairs = stored(pairs.select("a", "b", (F.col("shared") > spare).alias("strong"), ((F.col("shared") + given > spare) | F.col("special")).alias("possible")).filter("possible"), "pairs")
+    pairs = stored(pairs.select("a", "b", (F.col("shared") > spare).alias("strong"), ((F.col("shared") + given > spare) | F.col("special")).alias("possible")).filter("possible"), "pairs", scratch)
 
     # 1: strong pairs, and crowded sets with the head of most of their signatures
     heads = crowded.groupBy("sign").agg(F.min("doc_id").alias("a"))
     met = crowded.join(heads, "sign").filter("a < doc_id").groupBy("doc_id", "a").agg(F.count(F.lit(1)).alias("n"))
     met = met.groupBy(F.col("doc_id").alias("b")).agg(F.max(F.struct("n", F.bitwise_not("a"), "a")).alias("m")).select("m.a", "b")
-    first = stored(pairs.filter("strong").select("a", "b").unionByName(met).distinct(), "first")
+    first = stored(pairs.filter("strong").select("a", "b").unionByName(met).distinct(), "first", scratch)
     links = copies.unionByName(join.links(first))
-    found = stored(components(links), "components")
+    found = stored(components(links, scratch=scratch), "components", found_tables)
 
     # 2: pairs that may have shared crowded signatures too
     rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         rest = rest.join(found.select(F.col("node").alias(side), F.col("component").alias("c" + side)), side, "left")
-    rest = stored(rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "rest")
+    rest = stored(rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "rest", scratch)
     links = links.unionByName(join.links(rest))
-    found = stored(components(links), "components")
+    found = stored(components(links, scratch=scratch), "components", found_tables)
 
     # 3: crowded signatures that hold several components
-    placed = stored(crowded.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "placed")
+    placed = stored(crowded.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "placed", scratch)
     parts = placed.groupBy("sign", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("sign").agg(F.max(F.struct("n", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    queries = stored(placed.join(main, "sign").filter("component != m.component").select("doc_id").distinct(), "queries")
+    queries = stored(placed.join(main, "sign").filter("component != m.component").select("doc_id").distinct(), "queries", scratch)
     if not queries.isEmpty():
         everyone = join.sets(crowded.select("doc_id").distinct())
         for index in _blocks(everyone.join(queries, "doc_id", "left_semi")):
             shared = spark.sparkContext.broadcast(index)
             more = everyone.mapInArrow(lambda b, shared=shared: _search(b, shared.value, percent), "a long, b long")
-            links = links.unionByName(stored(more, "links"))
-        found = stored(components(links), "components")
+            links = links.unionByName(stored(more, "links", scratch))
+        found = stored(components(links, scratch=scratch), "components", found_tables)
+    # what is read from here on are the sizes and the last components
+    discard(*scratch, *found_tables[:-1])
     out = sizes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.shared import narrow_batches, small, stored
+from tillwatch.llm.shared import discard, narrow_batches, small, stored
 from tillwatch.llm.words import mix, word_slices
 
 #: pseudo-counts of the fallback, of bigrams on words and of words on the uniform distribution
@@ -201,6 +201,7 @@ def learn(rows: DataFrame, vocabulary: int | None, prior: float, hot: int, hot_w
     if vocabulary is not None:
         best = counts.filter("kind = 0").orderBy(F.desc("n"), "a").limit(vocabulary).select("a").toPandas()
         known = np.sort(best["a"].to_numpy(np.int64).view(np.uint64))
+        discard(counts)
         counts = counted(known)
     words = counts.filter("kind = 0")
     total, target, distinct = (x or 0 for x in words.agg(F.sum("n"), F.sum("t"), F.count(F.lit(1))).first())
@@ -212,6 +213,7 @@ def learn(rows: DataFrame, vocabulary: int | None, prior: float, hot: int, hot_w
     model = Model(prior, 1 + (len(known) if known is not None else distinct), total, target, tuple(starts), known, hashes, sums)
     # what is common in slices, as far as it is common in all; counted exactly next
     often = counts.filter("kind = 1").filter(F.col("n") * hot > total).select("a", "b").toPandas()
+    discard(counts)
     number, is_common = model.number(often["b"].to_numpy(np.int64).view(np.uint64))
     model.pairs = np.unique(model.key(number[is_common], often["a"].to_numpy(np.int64).view(np.uint64)[is_common]))
     if len(model.pairs):

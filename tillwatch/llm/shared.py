@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwatch.session import checkpoint_root
+from tillwatch.sources.batches import Folder
+
 #: Most rows of narrow integers (ids, hashes) that are broadcast; about 30 MB in an executor.
 BROADCAST_ROWS = 500_000
 #: Bytes of an Arrow batch for a Python worker (one longer text makes a longer batch).  The JVM holds a batch
@@ -19,22 +21,29 @@ _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "6710
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a temporary folder only where that is unset and the master is one local process."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tillwatch-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
+    return checkpoint_root(spark)
+
+
+def stored(df: DataFrame, name: str, scratch: list[DataFrame] | None = None) -> DataFrame:
+    """df written once as Parquet in the shared folder and read back: cuts lineage, survives lost executors.
+
+    What is put on a `scratch` list is deleted by `discard` when its last reader is done.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    if scratch is not None:
+        scratch.append(found)
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `stored` wrote, once nothing reads them any more."""
+    for df in tables:
+        folder, name = df.stored_at.rsplit("/", 1)
+        Folder(df.sparkSession, folder).remove(name)
 
 
 def narrow_batches(spark: SparkSession) -> None:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.automaton import SuffixAutomaton
-from tillwatch.llm.shared import stored, texts_of, with_rest
+from tillwatch.llm.shared import discard, stored, texts_of, with_rest
 from tillwatch.llm.words import Words, merged, runs_hash, spans_hash, word_slices, without
 
 LENGTH = 20
@@ -135,17 +135,21 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 def repeated_spans(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, shard_segments: int = SHARD_SEGMENTS, held: int = HELD,
+    scratch: list[DataFrame] | None = None,
 ) -> DataFrame:
-    """doc_id, first, last: word ranges covered by windows that also start earlier (ranges may overlap)."""
+    """doc_id, first, last: word ranges covered by windows that also start earlier (ranges may overlap).
+
+    The result reads stored tables; on a `scratch` list they can be discarded once it is read.
+    """
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     scan = source.mapInArrow(lambda batches: _scan(batches, length), SEGMENTS)
     again = scan.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("low"), F.max("body").alias("high")).filter("n > 1")
     again = again.select("shard", (F.col("low") != F.col("high")).alias("mixed"))
-    places = stored(scan.join(again, "shard"), "places")
+    places = stored(scan.join(again, "shard"), "places", scratch)
     firsts = stored(
         places.groupBy("shard", "body").agg(F.min(F.struct("doc_id", "first", "windows")).alias("f"), F.first("mixed").alias("mixed"), F.count(F.lit(1)).alias("n"))
-        .select("shard", "body", "mixed", "n", "f.*"), "firsts",
+        .select("shard", "body", "mixed", "n", "f.*"), "firsts", scratch,
     )
     origin = firsts.filter("n > 1").select("shard", "body", F.col("doc_id").alias("doc_0"), F.col("first").alias("first_0"))
     width = F.col("windows") + F.lit(length - 1)
@@ -153,7 +157,7 @@ def repeated_spans(
         places.join(origin, ["shard", "body"]).filter("doc_id != doc_0 or first != first_0")
         .select("doc_id", "first", (F.col("first") + width).cast("int").alias("last"))
     )
-    sizes = stored(firsts.filter("mixed").groupBy("shard").agg(F.count(F.lit(1)).alias("n_segments")), "shards")
+    sizes = stored(firsts.filter("mixed").groupBy("shard").agg(F.count(F.lit(1)).alias("n_segments")), "shards", scratch)
     spelt_schema = SEGMENTS + ", words binary"
     if sizes.limit(held + 1).count() <= held:
         rows = sizes.select("shard").toPandas()["shard"].to_numpy(np.int64)
@@ -165,12 +169,12 @@ def repeated_spans(
     # only the first copy of each segment goes on
     mine = firsts.filter("mixed").select("shard", "body", F.col("doc_id").alias("doc_0"), F.col("first").alias("first_0"))
     spelt = spelt.join(mine, ["shard", "body"]).filter("doc_id = doc_0 and first = first_0").dropDuplicates(["shard", "body"]).drop("doc_0", "first_0", "body")
-    spelt = stored(spelt.join(sizes, "shard"), "spelt")
+    spelt = stored(spelt.join(sizes, "shard"), "spelt", scratch)
     spans = "doc_id long, first int, last int"
     shards = spelt.filter(F.col("n_segments") <= shard_segments).select("shard", "doc_id", "first", "words").repartition("shard")
     shards = shards.sortWithinPartitions("shard", "doc_id", "first").mapInArrow(lambda b: _repeats(b, length), spans)
     alone = spelt.filter(F.col("n_segments") > shard_segments).mapInArrow(lambda b: _windows(b, length), "doc_id long, first int, window binary")
-    alone = stored(alone.select("doc_id", "first", F.md5("window").alias("w")), "windows")
+    alone = stored(alone.select("doc_id", "first", F.md5("window").alias("w")), "windows", scratch)
     earliest = alone.groupBy("w").agg(F.min(F.struct("doc_id", "first")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = alone.join(earliest, "w").filter("doc_id != f.doc_id or first != f.first").select("doc_id", "first", (F.col("first") + length).cast("int").alias("last"))
     return copies.union(shards).union(later)
@@ -219,7 +223,9 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     With columns to carry: instead of kept, text without the removed spans (all else as it was) and rest.
     """
     source = texts_of(docs, doc_id, text, carry)
-    spans = repeated_spans(docs, doc_id, text, **options)
+    scratch: list[DataFrame] = []
+    spans = repeated_spans(docs, doc_id, text, scratch=scratch, **options)
     per_doc = stored(spans.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
+    discard(*scratch)
     joined = source.join(per_doc, "doc_id", "left")
     return joined.mapInArrow(_apply, with_rest(f"doc_id long, n_words long, n_removed long, {'text' if carry else 'kept'} string", source))
