@@ -29,13 +29,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays, the smallest id; rows that repeat an id go."""
+    """One document of each group of linked ones stays, the smallest id; of rows that repeat an id the one with the
+    smallest digest of its text (then the smallest other columns) stays.  Rows without an id stay, all of them.
+
+    No links in an empty table; other columns than those of documents do not come through.
+    """
+    docs = docs.select(COLUMNS)
     found = stored(jaccard.similar_documents(docs), "groups")
     gone = stored(found.filter("doc_id != component_id").select("doc_id").distinct(), "gone")
     kept = docs.join(small(gone), "doc_id", "left_anti")
     repeated = stored(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
     if not repeated.isEmpty():
-        twice = kept.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        twice = kept.join(small(repeated), "doc_id", "left_semi").withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+        rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+        # digests meet first, so that no texts of one id are gathered
+        least = twice.groupBy("doc_id").agg(F.min(F.struct("digest", *rest)).alias("least"))
+        same = [twice[c].eqNullSafe(F.col(f"least.{c}")) for c in ("digest", *rest)]
+        twice = twice.join(least.withColumnRenamed("doc_id", "id"), (F.col("doc_id") == F.col("id")) & same[0] & same[1] & same[2] & same[3])
+        twice = twice.select(COLUMNS).dropDuplicates(["doc_id"])
         kept = kept.join(small(repeated), "doc_id", "left_anti").unionByName(twice)
     return kept.select(COLUMNS)
 

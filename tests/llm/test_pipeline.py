@@ -50,6 +50,29 @@ def test_run(spark, tmp_path):
     assert got[0]["text"] == texts[0] and 5 not in got and 8 not in got and 10 not in got
 
 
+def test_of_rows_that_repeat_an_id_the_same_one_stays_every_time(spark, tmp_path):
+    import hashlib
+
+    texts = ["one text of some words", "quite another text", "a third one", "a third one"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, digest string, id int"
+    rows = [(7, t, "en", f"s{k}", 1, "x", 2) for k, t in enumerate(texts)] + [(None, "no id here", None, None, None, "x", 2)] * 2
+    least = min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    for order in (rows, rows[::-1]):
+        found = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(order, schema).repartition(3), "")
+        assert found.columns == corpus_pipeline.COLUMNS
+        got = found.collect()
+        assert [r["text"] for r in got if r["doc_id"] == 7] == [least] and sum(r["doc_id"] is None for r in got) == 2
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_sql(spark, sf, name):
     con = oc.connect(sf)
