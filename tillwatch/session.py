@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+#: application -> its temporary folder, where no shared one is named
+_local_folders: dict[str, str] = {}
+
 
 def spark_session(app: str = "tillwatch", master: str | None = None, **extra: str) -> SparkSession:
     """Build (or fetch) a session; ``extra`` holds further settings with ``__`` for dots."""
@@ -42,9 +45,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="tillwatch-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    # a core setting cannot be changed in a running session
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tillwatch-")
+    return _local_folders[application]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
