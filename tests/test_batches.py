@@ -45,7 +45,7 @@ def test_merged_batches_read_alike_and_a_retry_replaces_itself(spark, tmp_path):
     assert table.read(spark).count() == 0 and table.read_batch(spark, "a", 0) is None
     for batch in range(8):
         for run in "ab":
-            for attempt in (100, 0):        # the second attempt counts
+            for attempt in (100, 0)[batch % 3 > 0:]:        # the second attempt counts
                 table.write(spark.createDataFrame([(batch + attempt,)], "n int"), run, batch)
     got = sorted(table.read(spark, run=True).collect())
     assert got == sorted((b, b, r) for b in range(8) for r in "ab")
@@ -53,10 +53,10 @@ def test_merged_batches_read_alike_and_a_retry_replaces_itself(spark, tmp_path):
     assert [tuple(r) for r in table.read_batch(spark, "b", 1).collect()] == [(1, 1)]
     table.write(spark.createDataFrame([(55,)], "n int"), "a", 1)     # merged long ago: stays
     assert [tuple(r) for r in table.read_batch(spark, "a", 1).collect()] == [(1, 1)]
-    for batch in range(8, 22):
+    for batch in range(8, 15):
         table.write(spark.createDataFrame([(batch,)], "n int"), "a", batch)
     folders = [n for n in Folder(spark, str(tmp_path / "t")).names() if not n.startswith("_")]
-    assert len(table.entries(spark)) <= 3 * 4 + 2 and len(folders) < 30     # folders no longer named go
+    assert len(table.entries(spark)) <= 3 * 4 + 2 and len(folders) < 25     # folders no longer named go
 
 
 def test_a_write_that_fails_leaves_nothing(spark, tmp_path):
@@ -91,10 +91,10 @@ def test_ingest_reads_few_files_and_a_new_checkpoint_adds_nothing(spark, tmp_pat
     sink = sinks.IngestSink(str(tmp_path), fan=3)
     sink.index.part_keys = 20
     day = "2024-05-01T12:00:00+00:00"
-    batches = [messages(spark, [line(f"t{b * 10 + k}", day) for k in range(12)]) for b in range(12)]     # two of each come again
+    batches = [messages(spark, [line(f"t{b * 10 + k}", day) for k in range(12)]) for b in range(7)]     # two of each come again
     for b, batch in enumerate(batches):
         sink(batch, b)
-    assert sink.table(spark).count() == 122 == sink.table(spark).select("tx_id").distinct().count()
+    assert sink.table(spark).count() == 72 == sink.table(spark).select("tx_id").distinct().count()
     new = messages(spark, [line("fresh", day)])
     good, _ = split_dead_letters(positioned(new))
     assert len(sink.index.paths(spark, good)) <= 3 + 1
@@ -102,7 +102,7 @@ def test_ingest_reads_few_files_and_a_new_checkpoint_adds_nothing(spark, tmp_pat
     for b, batch in enumerate(batches):
         sink(batch, b)
     sink(new, len(batches))
-    assert sink.table(spark).count() == 123
+    assert sink.table(spark).count() == 73
 
 
 def test_keys_stored_but_not_indexed_are_found(spark, tmp_path, monkeypatch):
