@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from test_streaming import drain, folder, message, rocks, stream_of, write_file  # noqa: F401
 
 from tillwatch.operators import rules
-from tillwatch.sources.messages import file_replay, parse_transactions
+from tillwatch.sources.messages import file_replay, file_stream, parse_transactions
 from tillwatch.streaming.exact import country_changes, exact_scores, lowest_median, window_counts
+from tillwatch.streaming.live import run_alerts, settled_scores
+from tillwatch.streaming.sinks import AlertSink
 
 COLUMNS = ["tx_id", "user_id", "amount", "country_code", "tx_count_60s", "velocity_score", "user_median_amount", "amount_ratio",
            "amount_spike_flag", "geo_anomaly_flag", "fraud_score", "triggered_rules", "is_flagged"]
@@ -82,3 +84,14 @@ def test_parts_against_plain_loops():
         assert lowest_median(at, amount, 100, 60, 10) == min(medians, default=None)
         flags = [c is not None and any(d is not None and d != c and 0 <= y - x <= 20 for y, d in zip(at, country)) for x, c in zip(at, country)]
         assert country_changes(at, country, 20).tolist() == flags
+
+
+def test_settled_alerts_reach_the_sink(spark, rocks, folder, tmp_path):  # noqa: F811
+    lines = [message(f"t{n}", "u", n * 5) for n in range(12)] + [message("t0", "u", 0)]
+    write_file(folder, 0, lines)
+    write_file(folder, 1, [message("z0", "z", 90 * 3600)])
+    write_file(folder, 2, [message("z1", "z", 200 * 3600)])
+    sink = AlertSink(str(tmp_path / "s"), lambda *_: None)
+    run_alerts(file_stream(spark, folder), sink, str(tmp_path / "cp"), trigger=None, scores=settled_scores).awaitTermination(300)
+    assert sorted(r["tx_id"] for r in sink.alerts(spark).collect()) == sorted(f"t{n}" for n in range(12))
+    assert sink.rollup(spark).agg(F.sum("alerts")).first()[0] == 12

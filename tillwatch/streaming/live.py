@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.session import checkpoint_root
 from tillwatch.sources.messages import parse_transactions
+from tillwatch.streaming.exact import exact_scores
 from tillwatch.streaming.sinks import TRIGGER, AlertSink, IngestSink, start
 from tillwatch.streaming.trailing import trailing_score
 from tillwatch.streaming.windows import WATERMARK, deduplicated, watermarked
@@ -18,6 +21,11 @@ def live_scores(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return trailing_score(deduplicated(watermarked(parse_transactions(messages), delay)))
 
 
+def settled_scores(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """As :func:`live_scores`, but what the batch rules find: a row comes out when its last window has closed."""
+    return exact_scores(deduplicated(watermarked(parse_transactions(messages), delay)))
+
+
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -26,12 +34,14 @@ STATE_SETTINGS = {
 
 
 def run_alerts(messages: DataFrame, sink: AlertSink, checkpoint: str | None = None,
-               trigger: str | None = TRIGGER) -> StreamingQuery:
-    """Score the stream into ``sink``; the checkpoint defaults to the cluster's shared folder."""
+               trigger: str | None = TRIGGER,
+               scores: Callable[[DataFrame], DataFrame] = live_scores) -> StreamingQuery:
+    """Score the stream into ``sink``, at once or (``settled_scores``) a day later and exactly; the
+    checkpoint defaults to the cluster's shared folder."""
     checkpoint = checkpoint or f"{checkpoint_root(messages.sparkSession)}/alerts"
     for key, value in STATE_SETTINGS.items():
         messages.sparkSession.conf.set(key, value)
-    return start(live_scores(messages), sink, checkpoint, trigger)
+    return start(scores(messages), sink, checkpoint, trigger)
 
 
 def run_ingest(messages: DataFrame, sink: IngestSink, checkpoint: str | None = None,
