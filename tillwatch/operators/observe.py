@@ -62,7 +62,8 @@ def snapshot_schema(spark: SparkSession, tables: dict[str, DataFrame], at: datet
 def read_for_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table read so that Spark answers counts from file footers alone.
 
-    Spark does that in its newer reader only, which is chosen when the table is opened.
+    Spark does that in its newer reader only, which is chosen when the table is opened; the push-down setting
+    stays on and concerns that reader alone.
     """
     older = "spark.sql.sources.useV1SourceList"
     before = spark.conf.get(older)
