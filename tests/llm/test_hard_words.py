@@ -1,11 +1,14 @@
 """Words and ids that meet where hashes or sums are weak, long texts, several scripts."""
 
+import math
 import random
 import time
+from collections import Counter, defaultdict
 
 import brute
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tillwatch.llm import html, jaccard, language, licenses, substrings, words
 
@@ -159,6 +162,67 @@ def test_a_text_of_all_templates_goes_and_a_heading_of_one_stays(spark):
     assert got[3] == "Summary\nPost 3 with a rather long text of its own 9" and got[102] == "Details\nItem 2 with a rather long text of its own 10"
 
 
+def test_classes_are_those_of_whole_occurrence_vectors(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.lit("http://one.example/").alias("url"), "html")
+    vectors = html.token_vectors(html.page_walks(pages))
+    got = defaultdict(set)
+    for r in html.equivalence_classes(vectors).collect():
+        got[r["class"]].add(r["token"])
+    counts, elements, n = defaultdict(Counter), set(), 0
+    for n, r in enumerate(pages.collect(), 1):
+        tokens, _, kinds, *_ = html.Page(r["html"]).walk()
+        elements |= {t for t, kind in zip(tokens, kinds) if kind >= 0}
+        for t in tokens:
+            counts[t][r["page_id"]] += 1
+    support = max(2, math.ceil(html.SUPPORT * max(len(counts[t]) for t in elements)))
+    want = defaultdict(set)
+    for t, c in counts.items():
+        if len(c) >= support:
+            want[frozenset(c.items())].add(t)
+    assert n and {frozenset(v) for v in got.values()} == {frozenset(v) for v in want.values()}
+    assert any(len(v) > 1 for v in got.values())
+
+
+def test_tokens_of_a_class_are_ordered_and_told_apart_by_their_gap():
+    # html body hr div, and two other divs in gaps of their class
+    html_, body, hr, div, p = 2, 4, 6, 8, 10
+    classes = {html_: (1, 1), body: (1, 2), hr: (1, 3), div: (5, 1), p: (7, 1)}
+    tokens, parents = [html_, body, div, p, hr, div, p], [-1, 0, 1, 2, 1, 1, 5]
+    new, nests = html.refine(tokens, parents, classes)
+    assert [new[k] for k in (0, 1, 4)] == [html_, body, hr] and len({new[2], new[5]}) == 2 and len({new[3], new[6]}) == 2
+    assert nests[0] == nests[1] == nests[4] and nests[2] != nests[5]
+    assert html.disordered(tokens, parents, classes) == set()
+    # nav and article of one class change places; a list repeats as a whole in two gaps
+    classes = {html_: (1, 1), body: (1, 2), 12: (1, 3), 14: (1, 4), 20: (9, 1), 22: (9, 2)}
+    assert html.disordered([html_, body, 14, 12], [-1, 0, 1, 1], classes) == {12, 14}
+    assert html.disordered([html_, body, 12, 20, 22, 20, 22, 14], [-1, 0, 1, 2, 3, 2, 5, 1], classes) == set()
+    assert html.disordered([html_, body, 12, 22, 20, 22, 20, 14], [-1, 0, 1, 2, 2, 2, 2, 1], classes) == {20, 22}
+
+
+def test_containers_of_one_path_are_told_apart_by_the_template(spark, monkeypatch):
+    def page(k, rule):
+        return f"<html><body><div><a>Home</a> <a>All pages</a></div>{rule}<div><h2>Summary</h2><p>Story {k} with a rather long text of its own {k}</p><div>Part {k}</div></div><div>Our address</div></body></html>"
+
+    pages = [(100 * n + k, f"http://{n}.example/{k}", page(k, rule)) for n, rule in enumerate(("<hr>", "")) for k in range(6)]
+    # the boxes around the story change places on one page: it is still found
+    pages += [(200 + k, f"http://swapped.example/{k}", f"<html><body><div class='{'ab'[k == 3]}'>One box</div><div class='text'><p>Story {k} with a rather long text of its own</p></div><div class='{'ba'[k == 3]}'>Two boxes</div></body></html>") for k in range(6)]
+    # the rule stands before the story on one page only, and there is a page without a story
+    body = "<html><body><div>Home and all pages</div>{}</body></html>"
+    pages += [(300 + k, f"http://moved.example/{k}", body.format(("<hr>{}" if k == 2 else "{}<hr>").format(f"<div class='text'><p>Story {k} with a rather long text of its own</p></div>"))) for k in range(6)]
+    pages += [(310, "http://moved.example/none", body.format("<p>None here</p><hr>"))]
+    # two parts of a story, or two stories, are told apart and both stay
+    parts = "<html><body><{0}><h2>Intro</h2><p>Short {1}</p></{0}><hr><{0}><h2>Details</h2><p>Story {1} with a rather long text of its own</p></{0}></body></html>"
+    pages += [(400 + 100 * n + k, f"http://{tag}.example/{k}", parts.format(tag, k)) for n, tag in enumerate(("div", "article")) for k in range(6)]
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(rows).collect()}
+    for k in range(6):
+        assert got[400 + k] == got[500 + k] == f"Intro\nShort {k}\nDetails\nStory {k} with a rather long text of its own"
+        assert got[100 + k] == f"Summary\nStory {k} with a rather long text of its own {k}\nPart {k}"
+        assert got[k] == got[100 + k] and got[200 + k] == got[300 + k] == f"Story {k} with a rather long text of its own"
+    monkeypatch.setattr(html, "BROADCAST_ROWS", 0)  # hosts are joined by a shuffle
+    assert got == {r["page_id"]: r["text"] for r in html.extract_pages(rows).collect()}
+
+
 def test_a_text_above_a_slice_goes_through_every_operator(make, spark):
     rnd = random.Random(5)
     long = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(60_000))

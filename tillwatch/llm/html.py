@@ -2,15 +2,22 @@
 
 Structural tokens are tags with their path of open elements, their class, id and role; a text token is a
 block's text at its path.  Tokens of one host with the same occurrence vector (how often they stand in
-each of the host's pages; for texts, whether they do) form a class.  Every class above a support is kept,
-so a host may have several templates; classes nest by the paths of their tokens.  A slot is an article,
-main or container that stands once in each page of its class, with at least half of those pages' main
-text below it.  Each page takes, of the slots it holds, the outermost article or main, else the deepest
-container; an article or main of its own goes before a container that is the body or mostly that article.
-Nothing in a slot goes because it repeats on the pages of the slot's class (headings of recipes do); a text
-is template only if it stands at the same path on all pages of the host, those of other classes too.  Vectors are compared by a linear fingerprint, the
-sum of page hash times count, so they aggregate before the shuffle and a host of any size is one row per
-token.
+each of the host's pages) form a class, if they stand in two pages and a share of the host's; a host may have
+several templates.  Classes are ordered and nested: a token that stands before one of its class on a page and
+after it by the class's order becomes a class alone, and a class is split by the gaps (the last token before, of
+the class around it) it stands in.  Other tokens are then told apart by the gap they and their parents stand in,
+so that the second `div` of a page may be another token than the first, and the classes are found anew, until
+no token and no class changes.
+
+A slot is an article, main or container of a class that stands once in each page that has it, with at least
+half of those pages' main text below it; one that rounds told apart from others of its path must hold all text
+but template, which is text on all pages of its element.  Each page takes, of the slots it holds, the outermost
+article or main, else the deepest container, or the outermost one told apart in it; an article or main of its own
+goes before a container that is the body or mostly that article.  Nothing in a slot goes because it repeats
+(headings of recipes do).
+
+Pages are walked once into token sequences, which the rounds read.  Vectors are compared by a linear fingerprint,
+the sum of page hash times count, so they aggregate before the shuffle and a host of any size is one row per token.
 
 A page without a slot (or the only page of its host) falls back to its own article, main or body.  Within
 the slot, elements that are never content by their name or by a whole class, id or role go; what is left
@@ -26,12 +33,13 @@ import hashlib
 import html
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.shared import small, stored
+from tillwatch.llm.shared import BROADCAST_ROWS, discard, stored
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|<(?=[/!?a-zA-Z])[^<]*$", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -77,11 +85,11 @@ class Page:
     """Walks a page once: elements with their paths, and text with its place."""
 
     def __init__(self, source: str):
-        #: (path hash, depth) in page order; text: (element index, text or None for a block's edge, aside)
+        #: elements in page order; text: (element index, text or None for a block's edge, elements opened before)
         self.paths: list[int] = []
         self.parents: list[int] = []
         self.tags: list[str] = []
-        self.text: list[tuple[int, str | None]] = []
+        self.text: list[tuple[int, str | None, int]] = []
         self.marked: list[bool] = []
         open_: list[int] = []
         at, end = 0, len(source)
@@ -89,7 +97,7 @@ class Page:
             found = _TOKEN.search(source, at)
             stop = found.start() if found else end
             if stop > at:
-                self.text.append((open_[-1] if open_ else -1, source[at:stop]))
+                self._say(open_[-1] if open_ else -1, source[at:stop])
             if not found:
                 break
             at = found.end()
@@ -110,9 +118,9 @@ class Page:
             self.paths.append(path), self.parents.append(parent), self.tags.append(tag)
             self.marked.append(marked and tag not in PROTECTED)
             if tag not in INLINE:
-                self.text.append((len(self.tags) - 1, None))
+                self._say(len(self.tags) - 1, None)
             elif tag == "br":
-                self.text.append((len(self.tags) - 1, " "))
+                self._say(len(self.tags) - 1, " ")
             if tag in RAW:
                 close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(source, at)
                 at = close.start() if close else end
@@ -123,12 +131,15 @@ class Page:
         self._unmark()
         self._settle()
 
+    def _say(self, k: int, text: str | None) -> None:
+        self.text.append((k, text, len(self.tags)))
+
     def _unmark(self) -> None:
         """A mark does not hold where all articles and mains of the page, or on a page without one at least half of its text, stand below it."""
         if not any(self.marked):
             return
         never, chars, stories = self._inherited([t in ASIDE for t in self.tags]), [0] * len(self.tags), [0] * len(self.tags)
-        for k, text in self.text:
+        for k, text, _ in self.text:
             if text is not None and k >= 0 and not never[k]:
                 chars[k] += len(text)
         for k, tag in enumerate(self.tags):
@@ -157,7 +168,7 @@ class Page:
         for k in range(len(open_) - 1, -1, -1):
             if self.tags[open_[k]] == tag:
                 if tag not in INLINE:
-                    self.text.append((open_[k], None))
+                    self._say(open_[k], None)
                 del open_[k:]
                 return
             # an inline end tag never closes a block around it
@@ -168,7 +179,7 @@ class Page:
         for k in range(len(open_) - 1, -1, -1):
             tag = self.tags[open_[k]]
             if tag == "p":
-                self.text.append((open_[k], None))
+                self._say(open_[k], None)
                 del open_[k:]
                 return
             if tag not in INLINE:
@@ -177,60 +188,84 @@ class Page:
     def _below(self) -> list[int]:
         """Characters of main text below each element, and last those of the page."""
         chars = [0] * (len(self.tags) + 1)
-        for k, text in self.text:
+        for k, text, _ in self.text:
             if text is not None and (k < 0 or not self.aside[k]):
                 chars[k] += len(text)
         for k in range(len(self.tags) - 1, -1, -1):
             chars[self.parents[k]] += chars[k]  # that of the page, if there is no parent
         return chars
 
-    def _blocks(self, inside: list[bool] | None = None) -> list[tuple[int, str]]:
-        """(token, text) of the blocks of main text: all, or those inside and what stands in no element if nothing is."""
-        blocks, line, at = [], [], -1
+    def _blocks(self, inside: list[bool] | None = None) -> list[tuple[int, int, str]]:
+        """(element or -1, elements opened before, text) of the blocks of main text: all, or those inside and what
+        stands in no element if nothing is."""
+        blocks, line, at, place = [], [], -1, 0
         bare = inside is None or not any(inside)
-        for k, text in [*self.text, (-1, None)]:
+        for k, text, before in [*self.text, (-1, None, 0)]:
             if text is None:
                 block = _SPACE.sub(" ", html.unescape("".join(line))).strip()
                 if block:
                     while at >= 0 and self.tags[at] in INLINE:
                         at = self.parents[at]
-                    blocks.append((hash_text(f"{self.paths[at] if at >= 0 else 0} {block}"), block))
+                    blocks.append((at, place, block))
                 line, at = [], -1
             elif (inside is None or inside[k]) and not self.aside[k] if k >= 0 else bare:
                 if not line or at < 0 or not "".join(line).strip():
-                    at = k
+                    at, place = k, before
                 line.append(text)
         return blocks
 
-    def structure(self) -> dict[int, tuple[int, int, int, int, int]]:
-        """token -> (times, characters of main text below, those of the page, depth, kind): for paths 2 is an article
-        or main, 1 a container, 0 another element; -1 is a block's text at its path."""
+    def walk(self) -> tuple[list[int], list[int], list[int], list[int], list[int], int]:
+        """tokens in page order, the places of their parents or -1, kinds, characters of main text below, depths, and
+        the page's characters.  Kinds: 2 an article or main, 1 a container, 0 another element, -1 a block's text."""
         chars = self._below()
-        depth = [0] * len(self.tags)
-        for k in range(len(self.tags)):
-            depth[k] = depth[self.parents[k]] + 1 if self.parents[k] >= 0 else 1
-        out: dict[int, tuple[int, int, int, int, int]] = {}
-        for k, path in enumerate(self.paths):
-            n, size, *_ = out.get(path, (0, 0))
-            kind = 0 if self.aside[k] else 2 if self.tags[k] in ("article", "main") else int(self.tags[k] in CONTAINERS)
-            out[path] = (n + 1, size + chars[k], chars[-1], depth[k], kind)
-        for token, block in self._blocks():
-            out.setdefault(token, (1, len(block), chars[-1], 0, -1))
-        return out
-
-    def choose(self, slots: list[dict]) -> dict | None:
-        """Of the host's slots the outermost article or main of this page, else its deepest container."""
-        here = set(self.paths)
+        tokens, parents, kinds, sizes, depths, places = [], [], [], [], [], []
+        blocks, b = self._blocks(), 0
+        for k in range(len(self.tags) + 1):
+            while b < len(blocks) and blocks[b][1] <= k:
+                at, _, block = blocks[b]
+                tokens.append(hash_text(f"{self.paths[at] if at >= 0 else 0} {block}"))
+                parents.append(places[at] if at >= 0 else -1)
+                kinds.append(-1), sizes.append(len(block)), depths.append(0)
+                b += 1
+            if k < len(self.tags):
+                above = places[self.parents[k]] if self.parents[k] >= 0 else -1
+                depths.append(depths[above] + 1 if above >= 0 else 1)
+                places.append(len(tokens))
+                tokens.append(self.paths[k]), parents.append(above), sizes.append(chars[k])
+                kinds.append(0 if self.aside[k] else 2 if self.tags[k] in ("article", "main") else int(self.tags[k] in CONTAINERS))
+        return tokens, parents, kinds, sizes, depths, chars[-1]
+
+    def roles(self, rounds: list[dict[int, tuple[int, int]]]) -> list[set[int]]:
+        """The elements' tokens, before and after each round."""
+        tokens, parents, kinds, *_ = self.walk()
+        found = [{t} for t in tokens]
+        for classes in rounds:
+            tokens = refine(tokens, parents, classes)[0]
+            for one, t in zip(found, tokens):
+                one.add(t)
+        return [one for one, kind in zip(found, kinds) if kind >= 0]
+
+    @staticmethod
+    def choose(slots: list[dict], here: set[int]) -> dict | None:
+        """Of the host's slots the outermost article or main of this page, else its deepest container or what is told apart in it."""
         held = [s for s in slots if s["token"] in here]
-        return max(held, key=lambda s: (s["content"], -s["depth"] if s["content"] == 2 else s["depth"], s["token"]), default=None)
+        named = [s for s in held if s["content"] == 2]
+        if named:
+            return min(named, key=lambda s: (s["depth"], s["token"]))
+        slot = max((s for s in held if not s["token"] & 1), key=lambda s: (s["depth"], s["token"]), default=None)
+        # what rounds told apart holds all but template: below that slot, the outermost
+        told = [s for s in held if s["token"] & 1 and (slot is None or s["depth"] > slot["depth"])]
+        return min(told, key=lambda s: (s["depth"], s["token"]), default=slot)
 
     def _inside(self, roots: set[int]) -> list[bool]:
         return self._inherited([k in roots for k in range(len(self.tags))])
 
-    def extract(self, slots: list[dict]) -> str:
-        """Blocks of main text inside the page's slot, without those of the slot's class."""
-        slot = self.choose(slots)
-        found = [k for k, p in enumerate(self.paths) if p == slot["token"]] if slot else []
+    def extract(self, slots: list[dict], rounds: list[dict[int, tuple[int, int]]]) -> str:
+        """Blocks of main text inside the page's slot."""
+        # a slot whose token no round changed is known by its path
+        here = self.roles(rounds) if any(s["token"] & 1 for s in slots) else [{t} for t in self.paths]
+        slot = self.choose(slots, set().union(*here))
+        found = [k for k, tokens in enumerate(here) if slot["token"] in tokens] if slot else []
         for k in found:  # a slot and what is around it is not marked
             while k >= 0:
                 self.marked[k], k = False, self.parents[k]
@@ -250,72 +285,266 @@ class Page:
         for tag in ("article", "main", "body"):
             if not roots:
                 roots = {k for k, t in enumerate(self.tags) if t == tag and not self.aside[k]}
-        blocks = self._blocks(self._inside(roots))
-        template = set(slot["texts"]) if slot else set()
-        blocks = [b for b in blocks if b[0] not in template] or blocks
-        return "\n".join(b for _, b in blocks)
+        return "\n".join(block for *_, block in self._blocks(self._inside(roots)))
 
 
-#: share of a host's pages that a slot's class needs
+#: share of a host's pages that a class needs, besides two pages
 SUPPORT = 0.005
-#: hosts whose slots are broadcast
-SLOT_HOSTS = 50_000
 
 
 def hash_text(text: str) -> int:
-    """A 63-bit hash that is the same in every process."""
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
+    """A 63-bit hash that is the same in every process; even, as a round's tokens are odd."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1 & ~1
+
+
+def nesting(tokens: list[int], parents: list[int], classes: dict[int, tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """For each place of a page, by the host's token -> (class, rank): its gap, the last token of its parent's class
+    before it (0 in that class itself), and its nest, the gap of the class around it that its own class stands in."""
+    gaps, nests, last = [], [], {}
+    for token, p in zip(tokens, parents):
+        own = classes[token][0] if token in classes else None
+        outer = classes[tokens[p]][0] if p >= 0 and tokens[p] in classes else None
+        gaps.append(0 if own is None or outer is None or own == outer else last[outer])
+        # hashes of whole numbers are the same in every process
+        nests.append(0 if outer is None else nests[p] if own == outer else hash((outer, last[outer])))
+        if own is not None:
+            last[own] = token
+    return gaps, nests
+
+
+def disordered(tokens: list[int], parents: list[int], classes: dict[int, tuple[int, int]]) -> set[int]:
+    """Tokens that stand before or after one of their class against the class's order on this page.
+
+    A class that repeats in the page repeats as a whole, within each of the gaps it stands in.
+    """
+    groups: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    nth = _nth(tokens)
+    most = dict(zip(tokens, nth))
+    for token, nest, n in zip(tokens, nesting(tokens, parents, classes)[1], nth):
+        if token in classes and classes[token][1] >= 0:
+            groups.setdefault((classes[token][0], nest if most[token] > 1 else 0), []).append((n, classes[token][1], token))
+    out = set()
+    for found in groups.values():
+        if all(a < b for a, b in zip(found, found[1:])):
+            continue
+        greatest, least = found[0], found[-1]
+        for after, before in zip(found, reversed(found)):
+            greatest, least = max(greatest, after), min(least, before)
+            if after < greatest:
+                out.add(after[2])
+            if before > least:
+                out.add(before[2])
+    return out
+
+
+def refine(tokens: list[int], parents: list[int], classes: dict[int, tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Tokens told apart by their gap and their parent's, and nests."""
+    gaps, nests = nesting(tokens, parents, classes)
+    out: list[int] = []
+    for token, p, gap in zip(tokens, parents, gaps):
+        above = p >= 0 and out[p] != tokens[p]
+        out.append(hash((token, out[p], gap)) | 1 if token and (gap or above) else token)
+    return out, nests
+
+
+def varying(tokens: list[int], parents: list[int], sizes: list[int], classes: dict[int, tuple[int, int, int]]) -> list[int]:
+    """Characters at and below each place, of texts (those with a size) that do not stand on all pages of their element's token."""
+    out = [0] * len(tokens)
+    for k in range(len(tokens) - 1, -1, -1):
+        p = parents[k]
+        above = classes.get(tokens[p]) if p >= 0 else None
+        if not (tokens[k] in classes and above and classes[tokens[k]][2] >= above[2]):
+            out[k] += sizes[k]
+        if p >= 0:
+            out[p] += out[k]
+    return out
 
 
 def _host() -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def _structures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_WALK = {"host": ("string", pa.string()), "page": ("long", pa.int64()), "page_chars": ("long", pa.int64()), "page_data": ("long", pa.int64())}
+_WALK |= {c: (f"array<{t}>", pa.list_(k)) for c, t, k in (("parents", "int", pa.int32()), ("kinds", "int", pa.int32()), ("chars", "long", pa.int64()), ("depths", "int", pa.int32()))}
+_WALK |= {c: (f"array<{t}>", pa.list_(k)) for c, t, k in (("tokens", "long", pa.int64()), ("nests", "long", pa.int64()), ("nth", "int", pa.int32()), ("alone", "int", pa.int32()), ("data", "long", pa.int64()))}
+WALK = ", ".join(f"{c} {t}" for c, (t, _) in _WALK.items())
+
+
+def _batch(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, _WALK[c][1]) for c, v in columns.items()], names=list(columns))
+
+
+def _nth(tokens: list[int]) -> list[int]:
+    """Which occurrence of its token in the page each is, from 1."""
+    times: dict[int, int] = {}
+    out = []
+    for token in tokens:
+        times[token] = times.get(token, 0) + 1
+        out.append(times[token])
+    return out
+
+
+def _lists(column: pa.ListArray) -> list[list[int]]:
+    values, at, out = column.flatten().to_numpy(zero_copy_only=False).tolist(), 0, []
+    for n in column.value_lengths().to_pylist():
+        out.append(values[at : at + n])
+        at += n
+    return out
+
+
+def _walks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: dict[str, list] = {c: [] for c in ("host", "token", "times", "vector", "chars", "page_chars", "depth", "content")}
+        out: dict[str, list] = {c: [] for c in _WALK}
         for host, key, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
-            for token, (n, chars, page_chars, depth, content) in (Page(source).structure() if source else {}).items():
-                vector = key * n + (1 << 63)
-                for c, v in zip(out, (host, token, n, vector % (1 << 64) - (1 << 63), chars, page_chars, depth, content)):
-                    out[c].append(v)
-        kinds = (pa.string(), *[pa.int64()] * 5, pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
+            tokens, parents, kinds, chars, depths, page_chars = Page(source).walk()
+            none = [0] * len(tokens)
+            for c, v in zip(out, (host, key, page_chars, page_chars, parents, kinds, chars, depths, tokens, none, _nth(tokens), none, chars)):
+                out[c].append(v)
+        yield _batch(out)
+
+
+#: tokens of hosts that a task keeps unpacked
+UNPACKED = 500_000
+
 
+class _Classes:
+    """The hosts' classes as dictionaries, unpacked once in a task as long as they are few."""
 
-def page_classes(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
-    """host, token, pages it stands in, vector fingerprint, most times in a page, characters, those of the pages, depth, content."""
+    def __init__(self) -> None:
+        self.found: dict[str, dict[int, tuple[int, int]]] = {}
+        self.size = 0
+
+    def of(self, host: str, packed: pa.Scalar) -> dict[int, tuple[int, int]]:
+        if host not in self.found:
+            values = packed.values.to_numpy(zero_copy_only=False).tolist() if packed.is_valid else []
+            if self.size > UNPACKED:
+                self.found, self.size = {}, 0
+            self.found[host] = dict(zip(values[::4], zip(values[1::4], values[2::4], values[3::4])))
+            self.size += len(values) // 4
+        return self.found[host]
+
+
+def _disordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = _Classes()
+    for batch in batches:
+        found: set[tuple[str, int]] = set()
+        packed = batch.column("classes")
+        for k, (host, tokens, parents) in enumerate(zip(batch.column("host").to_pylist(), _lists(batch.column("tokens")), _lists(batch.column("parents")))):
+            found |= {(host, t) for t in disordered(tokens, parents, known.of(host, packed[k]))}
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.string()), pa.array([t for _, t in found], pa.int64())], names=["host", "token"])
+
+
+def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = _Classes()
+    for batch in batches:
+        out: dict[str, list] = {c: [] for c in ("page_data", "tokens", "nests", "nth", "alone", "data")}
+        packed = batch.column("classes")
+        rows = zip(batch.column("host").to_pylist(), *(_lists(batch.column(c)) for c in ("tokens", "parents", "kinds", "chars")))
+        for k, (host, tokens, parents, kinds, chars) in enumerate(rows):
+            classes = known.of(host, packed[k])
+            data = varying(tokens, parents, [n if kind < 0 else 0 for n, kind in zip(chars, kinds)], classes)
+            # a text below the support is in no later class
+            tokens = [t if kind >= 0 or t in classes else 0 for t, kind in zip(tokens, kinds)]
+            new, nests = refine(tokens, parents, classes)
+            for c, v in zip(out, (sum(n for n, p in zip(data, parents) if p < 0), new, nests, _nth(new), [int(t in classes and classes[t][1] < 0) for t in tokens], data)):
+                out[c].append(v)
+        yield _batch({c: out[c] if c in out else batch.column(c) for c in _WALK})
+
+
+def page_walks(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
+    """The tokens of each page in page order, with the places of their parents."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")).filter("html is not null")
-    rows = rows.select(_host().alias("host"), F.xxhash64("page_id", "url").alias("page"), "html")
-    found = rows.mapInArrow(_structures, "host string, token long, times long, vector long, chars long, page_chars long, depth int, content int")
+    return rows.select(_host().alias("host"), F.xxhash64("page_id", "url").alias("page"), "html").mapInArrow(_walks, WALK)
+
+
+def token_vectors(walks: DataFrame) -> DataFrame:
+    """host, token, and of its occurrences: pages, number, vector fingerprint, most in a page, characters, those of
+    the pages, varying ones of both, depth, content, sum of places, nest, whether it is alone."""
+    rows = walks.select("host", "page", "page_chars", "page_data", F.posexplode(F.arrays_zip("tokens", "kinds", "chars", "depths", "nests", "nth", "alone", "data")).alias("pos", "t"))
+    rows = rows.select("host", "page", "page_chars", "page_data", "pos", "t.*").filter("tokens != 0")
     # sums wrap, as a fingerprint may: decimal sums are cut to 64 bits
-    wrapped = F.sum(F.col("vector").cast("decimal(38,0)")) % F.lit(2**61 - 1).cast("decimal(38,0)")
-    return found.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("pages"), wrapped.cast("long").alias("vector"), F.max("times").alias("most"),
-        F.sum("chars").alias("chars"), F.sum("page_chars").alias("page_chars"), F.max("depth").alias("depth"), F.min("content").alias("content"),
+    wrapped = F.sum(F.col("page").cast("decimal(38,0)")) % F.lit(2**61 - 1).cast("decimal(38,0)")
+    first = F.col("nth") == 1
+    return rows.groupBy("host", F.col("tokens").alias("token")).agg(
+        F.sum(first.cast("long")).alias("pages"), F.count(F.lit(1)).alias("number"), wrapped.cast("long").alias("vector"), F.max("nth").alias("most"),
+        F.sum("chars").alias("chars"), F.sum(F.when(first, F.col("page_chars")).otherwise(0)).alias("page_chars"), F.max("depths").alias("depth"),
+        F.sum("data").alias("data"), F.sum(F.when(first, F.col("page_data")).otherwise(0)).alias("page_data"), F.min("kinds").alias("content"), F.sum(F.col("pos").cast("long")).alias("places"), F.min("nests").alias("nest"), F.max("alone").alias("alone"),
     )
 
 
-def host_slots(classes: DataFrame, share: float = SUPPORT) -> DataFrame:
-    """host, slots: token, content, depth of every container that may be a slot, and texts, what stands on all the host's pages.
+def equivalence_classes(vectors: DataFrame, share: float = SUPPORT) -> DataFrame:
+    """vectors above the support, with class and rank.  A class: tokens of a host with one occurrence vector in one
+    gap of the class around them; its tokens are ranked by their places.  A token out of order is a class alone."""
+    top = vectors.filter("content >= 0").groupBy("host").agg(F.max("pages").alias("host_pages"))
+    kept = vectors.filter("pages > 1").join(top, "host").filter(F.col("pages") >= F.greatest(F.lit(2), F.ceil(F.col("host_pages") * share)))
+    kept = kept.withColumn("class", F.xxhash64("vector", "nest", F.when(F.col("alone") > 0, F.col("token"))))
+    rank = F.row_number().over(Window.partitionBy("host", "class").orderBy("places", "token")).cast("long")
+    return kept.withColumn("rank", F.when(F.col("alone") > 0, F.lit(-1).cast("long")).otherwise(rank))
+
+
+def _packed(classes: DataFrame) -> DataFrame:
+    """host, classes: token, class, rank and pages of each token in one array."""
+    return classes.groupBy("host").agg(F.flatten(F.collect_list(F.array("token", "class", "rank", "pages"))).alias("classes"))
+
+
+def _with(rows: DataFrame, hosts: DataFrame, size: int) -> DataFrame:
+    """rows with what their host has: broadcast, if the hosts have few enough numbers in all."""
+    return rows.join(F.broadcast(hosts) if size <= BROADCAST_ROWS else hosts, "host", "left")
+
+
+def page_classes(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> tuple[list[DataFrame], list[DataFrame], int]:
+    """Each round's tokens with class and rank, what it told apart by host, and the number of tokens in them.
+
+    A round finds the classes, takes out what is not in their order, and tells tokens apart by the gap they stand in;
+    the rounds end when that changes no token and no class.
+    """
+    walks = stored(page_walks(pages, page_id, url, source), "walks")
+    found, rounds, size, before = [], [], 0, None
+    while True:
+        vectors = stored(token_vectors(walks).filter((F.col("content") >= 0) | (F.col("pages") > 1)), "vectors")
+        classes = stored(equivalence_classes(vectors), "classes")
+        found.append(classes)
+        now = tuple(classes.agg(F.count(F.lit(1)), F.sum("number"), F.countDistinct("host", "class"), F.sum("alone")).first())
+        discard(vectors)
+        if now == before or not now[0]:
+            discard(walks)
+            return found, rounds, size
+        before, size = now, size + now[0]
+        first = _with(walks.select("host", "tokens", "parents"), _packed(classes), now[0])
+        wrong = stored(first.mapInArrow(_disordered, "host string, token long").distinct(), "wrong")
+        # what is taken out leaves the others of its class as they are
+        ordered = classes.join(wrong.withColumn("out", F.lit(True)), ["host", "token"], "left").select(
+            "host", "token", F.when(F.col("out"), F.xxhash64("class", "token")).otherwise(F.col("class")).alias("class"),
+            F.when(F.col("out"), F.lit(-1).cast("long")).otherwise(F.col("rank")).alias("rank"), "pages",
+        )
+        rounds.append(stored(_packed(ordered), "round"))
+        refined = stored(_with(walks, rounds[-1], now[0]).mapInArrow(_refined, WALK), "walks")
+        discard(walks, wrong)
+        walks = refined
+
+
+def host_slots(found: list[DataFrame]) -> DataFrame:
+    """host, slots: token, content, depth of every container that may be a slot, by the classes of any round.
 
-    A slot stands once in each page that has it, in at least two pages and `share` of the host's, and has at
-    least half of those pages' main text below it.  At most (1 / share) * depth tokens of a host can be slots.
-    Only a slot of some of the pages has texts: others show that the text is not of this template alone.
+    A slot is of a class above the support and stands once in each page that has it.  It has at least half of those
+    pages' main text below it; one that rounds told apart from others of its path must have all text that varies.
+    A slot that is told apart stays, for pages whose part falls below the support.  At most (1 / share) * depth
+    tokens of a host and round can be slots.
     """
-    paths = classes.filter("content >= 0")
-    top = paths.groupBy("host").agg(F.max("pages").alias("host_pages"))
-    support = F.greatest(F.lit(2), F.ceil(F.col("host_pages") * share))
-    valid = paths.filter("content > 0 and most = 1 and chars * 2 >= page_chars and page_chars > 0 and pages > 1").join(top, "host").filter(F.col("pages") >= support)
-    texts = classes.filter("content < 0").join(top, "host").filter("pages = host_pages").groupBy("host").agg(F.collect_list("token").alias("everywhere"))
-    texts = valid.join(texts, "host", "left").withColumn("texts", F.when(F.col("pages") < F.col("host_pages"), F.col("everywhere")))
-    slots = texts.select("host", "token", "content", "depth", F.coalesce("texts", F.array().cast("array<long>")).alias("texts"))
-    return slots.groupBy("host").agg(F.collect_list(F.struct("token", "content", "depth", "texts")).alias("slots"))
+    whole = F.when(F.col("token").bitwiseAND(1) == 0, (F.col("chars") * 2 >= F.col("page_chars")) & (F.col("page_chars") > 0)).otherwise((F.col("data") == F.col("page_data")) & (F.col("data") > 0))
+    valid = reduce(DataFrame.unionByName, found).filter("content > 0 and most = 1").filter(whole)
+    valid = valid.groupBy("host", "token").agg(F.min("content").alias("content"), F.max("depth").alias("depth"))
+    return valid.groupBy("host").agg(F.collect_list(F.struct("token", "content", "depth")).alias("slots"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: list[_Classes] = []
     for batch in batches:
-        texts = [Page(s).extract(slots or []) if s else "" for s, slots in zip(batch.column("html").to_pylist(), batch.column("slots").to_pylist())]
+        texts = []
+        packed = [batch.column(c) for c in batch.schema.names if c.startswith("round_")]
+        known = known or [_Classes() for _ in packed]
+        for k, (host, s, slots) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "html", "slots")))):
+            texts.append(Page(s).extract(slots or [], [one.of(host, column[k]) for one, column in zip(known, packed)]) if s else "")
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
@@ -324,8 +553,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row."""
-    # pages are walked once for all classes: the classes are read several times
-    classes = stored(page_classes(pages, page_id, url, source).filter((F.col("content") >= 0) | (F.col("pages") > 1)), "classes")
-    slots = stored(host_slots(classes), "slots")
+    found, rounds, size = page_classes(pages, page_id, url, source)
+    slots = host_slots(found)
+    # only hosts with a slot that a round told apart need their rounds
+    told = slots.filter(F.exists("slots", lambda s: s["token"].bitwiseAND(1) == 1)).select("host")
+    for k, one in enumerate(rounds):
+        slots = slots.join(one.join(told, "host", "left_semi").withColumnRenamed("classes", f"round_{k}"), "host", "left")
+    slots = stored(slots, "slots")
+    discard(*found, *rounds)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")).withColumn("host", _host())
-    return rows.join(small(slots, SLOT_HOSTS), "host", "left").select("page_id", "url", "html", "slots").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return _with(rows, slots, size).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
