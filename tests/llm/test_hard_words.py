@@ -199,6 +199,51 @@ def test_tokens_of_a_class_are_ordered_and_told_apart_by_their_gap():
     assert html.disordered([html_, body, 12, 22, 20, 22, 20, 14], [-1, 0, 1, 2, 2, 2, 2, 1], classes) == {20, 22}
 
 
+def random_pages(rnd, hosts):
+    """Pages of random templates, whose parts are missing, repeated, in another order or not closed on some pages."""
+
+    def node(depth):
+        kids = [node(depth - 1) for _ in range(rnd.randrange(4))] if depth else []
+        return rnd.choice(["div", "div", "p", "ul", "h2", "b", "hr", "article"]), rnd.random() < 0.3 and f"fixed {rnd.randrange(9)}", rnd.random(), kids, rnd.random() < 0.3
+
+    def show(tag, fixed, some, kids, mixed):
+        if some < 0.15 and rnd.random() < 0.5:
+            return ""
+        inner = [show(*one) for one in kids for _ in range(rnd.randrange(1, 4) if some > 0.85 else 1)]
+        if mixed and rnd.random() < 0.3:
+            rnd.shuffle(inner)
+        return f"<{tag}>{fixed or rnd.random()}{''.join(inner)}" + (f"</{tag}>" if rnd.random() < 0.95 else "")
+
+    for h in range(hosts):
+        template = [node(3) for _ in range(4)]
+        for k in range(rnd.choice([1, 3, 20])):
+            yield 1000 * h + k, f"http://{h}.example/", "<html><body>" + "".join(show(*one) for one in template) + "</body></html>"
+
+
+def test_last_classes_have_one_vector_one_order_and_one_gap(spark):
+    pages = list(random_pages(random.Random(3), 12))
+    found, rounds, _ = html.page_classes(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    told = [{r["host"]: dict(zip(r["classes"][::4], zip(*(r["classes"][k::4] for k in (1, 2, 3))))) for r in one.collect()} for one in rounds]
+    last, vectors, nests = defaultdict(dict), defaultdict(Counter), defaultdict(set)
+    for r in found[-1].collect():
+        last[r["host"]][r["token"]] = (r["class"], r["rank"], r["pages"])
+    for d, url, source in pages:
+        host = url.split("/")[2]
+        tokens, parents, *_ = html.Page(source).walk()
+        for one in told:
+            tokens = html.refine(tokens, parents, one.get(host, {}))[0]
+        assert html.disordered(tokens, parents, last[host]) == set()
+        for t, nest in zip(tokens, html.nesting(tokens, parents, last[host])[1]):
+            if t in last[host]:
+                vectors[host, t][d] += 1
+                nests[host, last[host][t][0]].add(nest)
+    assert all(len(v) == 1 for v in nests.values()) and len(rounds) > 1 and found[-1].filter("alone > 0").count()
+    of_class = defaultdict(set)
+    for (host, t), v in vectors.items():
+        of_class[host, last[host][t][0]].add(frozenset(v.items()))
+    assert sum(map(len, last.values())) == len(vectors) and all(len(v) == 1 for v in of_class.values())
+
+
 def test_containers_of_one_path_are_told_apart_by_the_template(spark, monkeypatch):
     def page(k, rule):
         return f"<html><body><div><a>Home</a> <a>All pages</a></div>{rule}<div><h2>Summary</h2><p>Story {k} with a rather long text of its own {k}</p><div>Part {k}</div></div><div>Our address</div></body></html>"

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.shared import BROADCAST_ROWS, discard, stored
+from tillwatch.llm.shared import BROADCAST_ROWS, discard, small, stored
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|<(?=[/!?a-zA-Z])[^<]*$", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -468,7 +468,8 @@ def token_vectors(walks: DataFrame) -> DataFrame:
     return rows.groupBy("host", F.col("tokens").alias("token")).agg(
         F.sum(first.cast("long")).alias("pages"), F.count(F.lit(1)).alias("number"), wrapped.cast("long").alias("vector"), F.max("nth").alias("most"),
         F.sum("chars").alias("chars"), F.sum(F.when(first, F.col("page_chars")).otherwise(0)).alias("page_chars"), F.max("depths").alias("depth"),
-        F.sum("data").alias("data"), F.sum(F.when(first, F.col("page_data")).otherwise(0)).alias("page_data"), F.min("kinds").alias("content"), F.sum(F.col("pos").cast("long")).alias("places"), F.min("nests").alias("nest"), F.max("alone").alias("alone"),
+        F.sum("data").alias("data"), F.sum(F.when(first, F.col("page_data")).otherwise(0)).alias("page_data"), F.min("kinds").alias("content"),
+        F.sum(F.col("pos").cast("long")).alias("places"), F.min("nests").alias("nest"), F.max("alone").alias("alone"),
     )
 
 
@@ -476,7 +477,8 @@ def equivalence_classes(vectors: DataFrame, share: float = SUPPORT) -> DataFrame
     """vectors above the support, with class and rank.  A class: tokens of a host with one occurrence vector in one
     gap of the class around them; its tokens are ranked by their places.  A token out of order is a class alone."""
     top = vectors.filter("content >= 0").groupBy("host").agg(F.max("pages").alias("host_pages"))
-    kept = vectors.filter("pages > 1").join(top, "host").filter(F.col("pages") >= F.greatest(F.lit(2), F.ceil(F.col("host_pages") * share)))
+    # hosts are broadcast, so that a large one's tokens do not meet in a task
+    kept = vectors.filter("pages > 1").join(small(top), "host").filter(F.col("pages") >= F.greatest(F.lit(2), F.ceil(F.col("host_pages") * share)))
     kept = kept.withColumn("class", F.xxhash64("vector", "nest", F.when(F.col("alone") > 0, F.col("token"))))
     rank = F.row_number().over(Window.partitionBy("host", "class").orderBy("places", "token")).cast("long")
     return kept.withColumn("rank", F.when(F.col("alone") > 0, F.lit(-1).cast("long")).otherwise(rank))
@@ -531,7 +533,8 @@ def host_slots(found: list[DataFrame]) -> DataFrame:
     A slot that is told apart stays, for pages whose part falls below the support.  At most (1 / share) * depth
     tokens of a host and round can be slots.
     """
-    whole = F.when(F.col("token").bitwiseAND(1) == 0, (F.col("chars") * 2 >= F.col("page_chars")) & (F.col("page_chars") > 0)).otherwise((F.col("data") == F.col("page_data")) & (F.col("data") > 0))
+    half = (F.col("chars") * 2 >= F.col("page_chars")) & (F.col("page_chars") > 0)
+    whole = F.when(F.col("token").bitwiseAND(1) == 0, half).otherwise((F.col("data") == F.col("page_data")) & (F.col("data") > 0))
     valid = reduce(DataFrame.unionByName, found).filter("content > 0 and most = 1").filter(whole)
     valid = valid.groupBy("host", "token").agg(F.min("content").alias("content"), F.max("depth").alias("depth"))
     return valid.groupBy("host").agg(F.collect_list(F.struct("token", "content", "depth")).alias("slots"))
