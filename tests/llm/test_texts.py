@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import brute
@@ -150,6 +151,32 @@ def test_html_mixed_templates_and_unmarked_boilerplate(spark):
     assert all(got[300 + n] == "Title 7\nText number 7 of the host\nFollow us\nFollow us" for n in range(20))
 
 
+def test_html_paths_of_one_template_are_hashed_once(monkeypatch):
+    hashed, plain = Counter(), html.hash_text
+    monkeypatch.setattr(html, "hash_text", lambda text: hashed.update([text]) or plain(text))
+    page = "<html><body><div class='hashed once'><h1>Title {0}</h1><a href='/{0}'>Go</a><p id='{1}'>Text {0}</p></div></body></html>"
+    walks = [html.Page(page.format(k, "long" * (100 * (k % 2)))).walk() for k in range(40)]
+    # the template's own steps once; a long id every time, so that no page fills the store
+    assert all(n == 1 for text, n in hashed.items() if "/" in text and "longlong" not in text)
+    assert sum(n for text, n in hashed.items() if "longlong" in text and "Text" not in text) == 20
+    for at, steps in ((0, ["html "]), (2, ["html ", "body ", "div class=hashed once"]), (7, ["html ", "body ", "div class=hashed once", "p id=" + "long" * 100])):
+        want = 0
+        for step in steps:
+            want = plain(f"{want}/{step}")
+        assert {w[0][at] for w in walks[1::2]} == {want}
+
+
+def test_html_a_block_of_many_lines_takes_as_long_as_many_blocks():
+    def seconds(between):
+        start = time.process_time()
+        page = html.Page(f"<body><p>{between.join(['a line of text'] * 20_000)}</body>")
+        blocks = page.walk()[0], page.extract([], [])
+        return time.process_time() - start, blocks
+
+    (many, _), (one, (_, text)) = seconds("<p>"), seconds("<br>")
+    assert text == " ".join(["a line of text"] * 20_000) and one < 8 * many
+
+
 def test_html_articles_of_the_table(spark, sf):
     import html as entities
 

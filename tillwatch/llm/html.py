@@ -33,7 +33,7 @@ import hashlib
 import html
 import re
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -41,15 +41,18 @@ from pyspark.sql import functions as F
 
 from tillwatch.llm.shared import BROADCAST_ROWS, discard, small, stored
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|<(?=[/!?a-zA-Z])[^<]*$", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|<(?=[/!?a-zA-Z])[^<]*$", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_SPACE = re.compile(r"\s+")
+#: without these no attribute has a name that counts
+_NAMED = re.compile("class|id|role|hidden", re.I)
 #: elements without an end
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: elements that never hold main text
 ASIDE = set("head title script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas audio video dialog menu map".split())
 #: elements that hold blocks and may be a slot
 CONTAINERS = set("article main section div body td center".split())
+#: 2 an article or main, 1 another container
+KINDS = {tag: 2 if tag in ("article", "main") else 1 for tag in CONTAINERS}
 #: elements whose content is no markup
 RAW = set("script style textarea title noscript iframe".split())
 #: elements inside a line of text
@@ -81,6 +84,16 @@ def _names(attributes: str) -> tuple[str, bool]:
     return " ".join(sorted(kept)), marked
 
 
+@lru_cache(maxsize=16_384)
+def _path(above: int, step: str) -> int:
+    """The hash of an element's path.  The pages of a host share most of theirs."""
+    return hash_text(f"{above}/{step}")
+
+
+#: characters of a step (tag, class, id and role) whose path is kept
+KEPT_STEP = 256
+
+
 class Page:
     """Walks a page once: elements with their paths, and text with its place."""
 
@@ -91,43 +104,46 @@ class Page:
         self.tags: list[str] = []
         self.text: list[tuple[int, str | None, int]] = []
         self.marked: list[bool] = []
-        open_: list[int] = []
+        paths, parents, tags, text, marks, open_ = self.paths, self.parents, self.tags, self.text, self.marked, []
         at, end = 0, len(source)
         while at < end:
             found = _TOKEN.search(source, at)
             stop = found.start() if found else end
             if stop > at:
-                self._say(open_[-1] if open_ else -1, source[at:stop])
+                text.append((open_[-1] if open_ else -1, source[at:stop], len(tags)))
             if not found:
                 break
             at = found.end()
-            closing, tag, attributes = found.group(1), found.group(2), found.group(3)
+            closing, tag, attributes = found.groups()
             if tag is None:
                 continue
             tag = tag.lower()
             if closing:
-                self._close(open_, tag)
+                if open_ and tags[open_[-1]] == tag:
+                    k = open_.pop()
+                    if tag not in INLINE:
+                        text.append((k, None, len(tags)))
+                else:
+                    self._close(open_, tag)
                 continue
             if tag in CLOSES_P:
                 self._close_p(open_)
-            if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and open_ and self.tags[open_[-1]] == tag:
+            if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and open_ and tags[open_[-1]] == tag:
                 self._close(open_, tag)
-            names, marked = _names(attributes) if attributes and not attributes.isspace() else ("", False)
-            parent = open_[-1] if open_ else -1
-            path = hash_text(f"{self.paths[parent] if parent >= 0 else 0}/{tag} {names}")
-            self.paths.append(path), self.parents.append(parent), self.tags.append(tag)
-            self.marked.append(marked and tag not in PROTECTED)
+            names, marked = _names(attributes) if attributes and _NAMED.search(attributes) else ("", False)
+            parent, k, step = open_[-1] if open_ else -1, len(tags), f"{tag} {names}"
+            paths.append((_path if len(step) <= KEPT_STEP else _path.__wrapped__)(paths[parent] if parent >= 0 else 0, step))
+            parents.append(parent), tags.append(tag), marks.append(marked and tag not in PROTECTED)
             if tag not in INLINE:
-                self._say(len(self.tags) - 1, None)
+                text.append((k, None, k + 1))
             elif tag == "br":
-                self._say(len(self.tags) - 1, " ")
+                text.append((k, " ", k + 1))
             if tag in RAW:
                 close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(source, at)
                 at = close.start() if close else end
+                open_.append(k)
             elif tag not in VOID and not attributes.endswith("/"):
-                open_.append(len(self.tags) - 1)
-            if tag in RAW:
-                open_.append(len(self.tags) - 1)
+                open_.append(k)
         self._unmark()
         self._settle()
 
@@ -144,9 +160,11 @@ class Page:
                 chars[k] += len(text)
         for k, tag in enumerate(self.tags):
             stories[k] = int(tag in ("article", "main") and not never[k])
-        every, aside = sum(chars), self._inherited(self.marked)
-        some = any(stories)
+        every, some = sum(chars), any(stories)
+        aside = self._inherited(self.marked) if some else []
         lost = some and all(aside[k] for k, n in enumerate(stories) if n)
+        if some and not lost:
+            return
         for k in range(len(self.tags) - 1, -1, -1):
             if self.parents[k] >= 0:
                 chars[self.parents[k]] += chars[k]
@@ -198,19 +216,26 @@ class Page:
     def _blocks(self, inside: list[bool] | None = None) -> list[tuple[int, int, str]]:
         """(element or -1, elements opened before, text) of the blocks of main text: all, or those inside and what
         stands in no element if nothing is."""
-        blocks, line, at, place = [], [], -1, 0
-        bare = inside is None or not any(inside)
+        blocks, line, at, place, blank = [], [], -1, 0, True
+        if inside is None:
+            taken = [not out for out in self.aside]
+        else:
+            taken = [one and not out for one, out in zip(inside, self.aside)]
+        taken.append(inside is None or not any(inside))  # what stands in no element: -1
         for k, text, before in [*self.text, (-1, None, 0)]:
             if text is None:
-                block = _SPACE.sub(" ", html.unescape("".join(line))).strip()
-                if block:
-                    while at >= 0 and self.tags[at] in INLINE:
-                        at = self.parents[at]
-                    blocks.append((at, place, block))
-                line, at = [], -1
-            elif (inside is None or inside[k]) and not self.aside[k] if k >= 0 else bare:
-                if not line or at < 0 or not "".join(line).strip():
+                if not blank:
+                    block = " ".join(html.unescape("".join(line)).split())
+                    if block:
+                        while at >= 0 and self.tags[at] in INLINE:
+                            at = self.parents[at]
+                        blocks.append((at, place, block))
+                if line:
+                    line, at, blank = [], -1, True
+            elif taken[k]:
+                if blank or at < 0:
                     at, place = k, before
+                    blank = blank and text.isspace()
                 line.append(text)
         return blocks
 
@@ -219,20 +244,23 @@ class Page:
         the page's characters.  Kinds: 2 an article or main, 1 a container, 0 another element, -1 a block's text."""
         chars = self._below()
         tokens, parents, kinds, sizes, depths, places = [], [], [], [], [], []
-        blocks, b = self._blocks(), 0
-        for k in range(len(self.tags) + 1):
-            while b < len(blocks) and blocks[b][1] <= k:
-                at, _, block = blocks[b]
-                tokens.append(hash_text(f"{self.paths[at] if at >= 0 else 0} {block}"))
+        blocks, paths = self._blocks(), self.paths
+        blocks.append((-1, len(paths) + 1, ""))  # behind all
+        b, (at, place, block) = 0, blocks[0]
+        for k in range(len(paths) + 1):
+            while place <= k:
+                tokens.append(hash_text(f"{paths[at] if at >= 0 else 0} {block}"))
                 parents.append(places[at] if at >= 0 else -1)
                 kinds.append(-1), sizes.append(len(block)), depths.append(0)
                 b += 1
-            if k < len(self.tags):
-                above = places[self.parents[k]] if self.parents[k] >= 0 else -1
+                at, place, block = blocks[b]
+            if k < len(paths):
+                parent = self.parents[k]
+                above = places[parent] if parent >= 0 else -1
                 depths.append(depths[above] + 1 if above >= 0 else 1)
                 places.append(len(tokens))
-                tokens.append(self.paths[k]), parents.append(above), sizes.append(chars[k])
-                kinds.append(0 if self.aside[k] else 2 if self.tags[k] in ("article", "main") else int(self.tags[k] in CONTAINERS))
+                tokens.append(paths[k]), parents.append(above), sizes.append(chars[k])
+                kinds.append(0 if self.aside[k] else KINDS.get(self.tags[k], 0))
         return tokens, parents, kinds, sizes, depths, chars[-1]
 
     def roles(self, rounds: list[dict[int, tuple[int, int]]]) -> list[set[int]]:
@@ -263,13 +291,20 @@ class Page:
     def extract(self, slots: list[dict], rounds: list[dict[int, tuple[int, int]]]) -> str:
         """Blocks of main text inside the page's slot."""
         # a slot whose token no round changed is known by its path
-        here = self.roles(rounds) if any(s["token"] & 1 for s in slots) else [{t} for t in self.paths]
-        slot = self.choose(slots, set().union(*here))
-        found = [k for k, tokens in enumerate(here) if slot["token"] in tokens] if slot else []
+        if any(s["token"] & 1 for s in slots):
+            here = self.roles(rounds)
+            slot = self.choose(slots, set().union(*here))
+            found = [k for k, tokens in enumerate(here) if slot["token"] in tokens] if slot else []
+        else:
+            slot = self.choose(slots, set(self.paths))
+            found = [k for k, token in enumerate(self.paths) if token == slot["token"]] if slot else []
+        marked = False
         for k in found:  # a slot and what is around it is not marked
             while k >= 0:
+                marked = marked or self.marked[k]
                 self.marked[k], k = False, self.parents[k]
-        self._settle()
+        if marked:
+            self._settle()
         roots = {k for k in found if not self.aside[k]}
         if roots and slot["content"] == 1:
             # an article or main of the page's own: before body, or if it has most of the slot's text
@@ -300,13 +335,18 @@ def hash_text(text: str) -> int:
 def nesting(tokens: list[int], parents: list[int], classes: dict[int, tuple[int, int]]) -> tuple[list[int], list[int]]:
     """For each place of a page, by the host's token -> (class, rank): its gap, the last token of its parent's class
     before it (0 in that class itself), and its nest, the gap of the class around it that its own class stands in."""
-    gaps, nests, last = [], [], {}
+    gaps, nests, last, owns = [], [], {}, []
     for token, p in zip(tokens, parents):
-        own = classes[token][0] if token in classes else None
-        outer = classes[tokens[p]][0] if p >= 0 and tokens[p] in classes else None
-        gaps.append(0 if own is None or outer is None or own == outer else last[outer])
-        # hashes of whole numbers are the same in every process
-        nests.append(0 if outer is None else nests[p] if own == outer else hash((outer, last[outer])))
+        found = classes.get(token)
+        own = found[0] if found else None
+        outer = owns[p] if p >= 0 else None
+        owns.append(own)
+        if outer is None or own == outer:
+            gaps.append(0), nests.append(0 if outer is None else nests[p])
+        else:
+            gap = last[outer]
+            # hashes of whole numbers are the same in every process
+            gaps.append(0 if own is None else gap), nests.append(hash((outer, gap)))
         if own is not None:
             last[own] = token
     return gaps, nests
@@ -318,9 +358,19 @@ def disordered(tokens: list[int], parents: list[int], classes: dict[int, tuple[i
     A class that repeats in the page repeats as a whole, within each of the gaps it stands in.
     """
     groups: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    last: dict[tuple[int, int], tuple[int, int]] = {}
     nth = _nth(tokens)
-    most = dict(zip(tokens, nth))
-    for token, nest, n in zip(tokens, nesting(tokens, parents, classes)[1], nth):
+    most, nests = dict(zip(tokens, nth)), nesting(tokens, parents, classes)[1]
+    for token, nest, n in zip(tokens, nests, nth):
+        found = classes.get(token)
+        if found and found[1] >= 0:
+            group, place = (found[0], nest if most[token] > 1 else 0), (n, found[1])
+            if last.get(group, place) > place:
+                break
+            last[group] = place
+    else:
+        return set()  # most pages are in order
+    for token, nest, n in zip(tokens, nests, nth):
         if token in classes and classes[token][1] >= 0:
             groups.setdefault((classes[token][0], nest if most[token] > 1 else 0), []).append((n, classes[token][1], token))
     out = set()
@@ -546,8 +596,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         packed = [batch.column(c) for c in batch.schema.names if c.startswith("round_")]
         known = known or [_Classes() for _ in packed]
-        for k, (host, s, slots) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "html", "slots")))):
-            texts.append(Page(s).extract(slots or [], [one.of(host, column[k]) for one, column in zip(known, packed)]) if s else "")
+        slots: dict[str, list[dict]] = {}  # read once for a host of the batch
+        for k, (host, s) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "html")))):
+            if host not in slots:
+                slots[host] = batch.column("slots")[k].as_py() or []
+            texts.append(Page(s).extract(slots[host], [one.of(host, column[k]) for one, column in zip(known, packed)]) if s else "")
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
